@@ -113,18 +113,18 @@ _STOPS, _COMMAS = tuple(ANALYSER.STOPS), tuple(ANALYSER.COMMAS)
 TAGGED = f"""tagged AS (
   SELECT *,
     CASE WHEN regexp_matches(tok, '^[{SPACE}]$') THEN '空白'
-         WHEN tok IN {any_of(_STOPS + _COMMAS + tuple(ANALYSER.SYMBOLS))} THEN '補助記号'
+         WHEN tok IN {any_of(_STOPS + _COMMAS + tuple(ANALYSER.SYMBOLS + "「｢」｣‥・"))} THEN '補助記号'
          WHEN regexp_matches(tok, '^[{EMOJI}]') THEN '補助記号'
-         WHEN tok IN {any_of(ANALYSER.PARTICLES)} THEN '助詞'
+         WHEN tok IN {any_of(ANALYSER.PARTICLES + ANALYSER.OTHER_PARTICLES)} THEN '助詞'
          WHEN tok IN {any_of(ANALYSER.AUXILIARIES)} THEN '助動詞'
-         WHEN regexp_matches(tok, '[{ANALYSER.CONCLUSIVE}{ANALYSER.CONTINUATIVE}]$') THEN '動詞'
-         WHEN regexp_matches(tok, '[{ANALYSER.ADJECTIVE}]$') THEN '形容詞'
+         WHEN regexp_matches(tok, '[{ANALYSER.CONCLUSIVE_ENDINGS}{ANALYSER.CONTINUATIVE_ENDINGS}]$') THEN '動詞'
+         WHEN regexp_matches(tok, '[{ANALYSER.ADJECTIVE_ENDINGS}]$') THEN '形容詞'
          ELSE '名詞' END AS class,
     CASE WHEN tok IN {any_of(_STOPS)} THEN '句点' WHEN tok IN {any_of(_COMMAS)} THEN '読点' ELSE '一般' END AS sub,
-    CASE WHEN tok IN {any_of(ANALYSER.PARTICLES)} THEN '*'
+    CASE WHEN tok IN {any_of(ANALYSER.PARTICLES + ANALYSER.OTHER_PARTICLES)} THEN '*'
          WHEN tok IN {any_of(ANALYSER.AUXILIARIES)} THEN '終止形-一般'
-         WHEN regexp_matches(tok, '[{ANALYSER.CONCLUSIVE}{ANALYSER.ADJECTIVE}]$') THEN '終止形-一般'
-         WHEN regexp_matches(tok, '[{ANALYSER.CONTINUATIVE}]$') THEN '連用形-一般'
+         WHEN regexp_matches(tok, '[{ANALYSER.CONCLUSIVE_ENDINGS}{ANALYSER.ADJECTIVE_ENDINGS}]$') THEN '終止形-一般'
+         WHEN regexp_matches(tok, '[{ANALYSER.CONTINUATIVE_ENDINGS}]$') THEN '連用形-一般'
          ELSE '*' END AS conj
   FROM toks)"""
 

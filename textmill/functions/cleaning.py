@@ -9,9 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textmill.functions.chars import DIGIT, WHITESPACE, let, lstrip, remove_whitespace, rstrip, strip
-
-# Bracket pairs, in order of precedence.
+from textmill.functions.chars import (
+    DIGIT,
+    WHITESPACE,
+    WHITESPACE_CHARS,
+    let,
+    lstrip,
+    remove_whitespace,
+    rstrip,
+    strip,
+)
+
+# Marks dropped from the start, and bracket pairs in order of precedence.
+LEADING_MARKS = "＞>：:"
 BRACKET_PAIRS = ("（）", "()", "［］", "[]", "【】", "「」", "｢｣", "＜＞", "<>")
 
 _BRACKETS = "".join(BRACKET_PAIRS)
@@ -83,7 +93,7 @@ def strip_unbalanced_brackets(text: Column) -> Column:
 
 
 def strip_leading_marks(text: Column) -> Column:
-    return strip(F.regexp_replace(text, rf"\A[＞>：:{WHITESPACE}]+", ""))
+    return rstrip(F.ltrim(text, F.lit(LEADING_MARKS + WHITESPACE_CHARS)))
 
 
 def strip_list_number(text: Column) -> Column:

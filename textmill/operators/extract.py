@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions import chars
 from textmill.functions.cleaning import clean_sentence
 from textmill.operators.lines import CHUNK_CHARS, MAX_LINE_BYTES, explode_chunks
-from textmill.operators.segment import join_surfaces, split_sentences, structure_fault
+from textmill.operators.segment import split_sentences, structure_fault
 
 MIN_DENSITY = 0.75  # fixed value
 ORDINALS = ("line_no", "chunk_no", "sent_no")
@@ -24,26 +24,24 @@ def segment_documents(
     is one row with the fault ``analyser_error``. Blank sentences stay, with an empty ``raw``.
     """
     chunk = F.col("chunk")
-    analysed = explode_chunks(docs, max_bytes, chunk_chars).select(
-        "source",
-        "doc_id",
-        "line_no",
-        "chunk_no",
-        chunk,
-        chars.japanese_chars(chunk).cast("long").alias("_chunk_chars"),
-        analyser.tokens(chunk).alias("tokens"),
+    chunks = explode_chunks(docs, max_bytes, chunk_chars)
+    chunks = chunks.withColumn("_chunk_chars", chars.japanese_chars(chunk).cast("long"))
+    analysed = (
+        analyser.annotate(chunks, "chunk")
+        .withColumn("_failed", F.when(F.col("flags").isNull(), chunk))
+        .drop("chunk")
     )
-    marked = analysed.withColumn("_failed_chunk", F.when(F.col("tokens").isNull(), chunk)).drop("chunk")
-    sentence, failed = F.col("sentence"), F.col("_failed_chunk")
-    return split_sentences(marked).select(
+    text, failed = F.col("text"), F.col("_failed")
+    number = F.coalesce("sent_no", F.lit(0))
+    return split_sentences(analysed).select(
         "source",
         "doc_id",
         "line_no",
         "chunk_no",
-        F.coalesce("sent_no", F.lit(0)).alias("sent_no"),
-        F.coalesce(failed, join_surfaces(sentence), F.lit("")).alias("raw"),
-        F.when(failed.isNotNull(), "analyser_error").otherwise(structure_fault(sentence)).alias("fault"),
-        F.when(F.coalesce("sent_no", F.lit(0)) == 0, F.col("_chunk_chars")).otherwise(F.lit(0)).alias("orig_chars"),
+        number.alias("sent_no"),
+        F.coalesce(failed, text, F.lit("")).alias("raw"),
+        F.when(failed.isNotNull(), "analyser_error").otherwise(structure_fault(text, F.col("flags"))).alias("fault"),
+        F.when(number == 0, F.col("_chunk_chars")).otherwise(F.lit(0)).alias("orig_chars"),
     )
 
 

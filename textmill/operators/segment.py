@@ -1,6 +1,6 @@
 """Sentence segmentation over token arrays.
 
-The state machine (inside a quote? what was the previous token?) runs inside each chunk's token array. Nothing is
+The state machine (inside a quote? what was the previous token?) runs inside each chunk's arrays. Nothing is
 shuffled: a window over exploded tokens would send every token of the corpus across the network to learn what its
 neighbour, already in the same row, has to say.
 """
@@ -10,44 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.chars import contains_any, starts_with_emoji, strip
-from textmill.operators import tokens as tk
+from textmill.functions.chars import contains_any, strip
+from textmill.operators.tokens import Flag
 
-# Fixed values.
-QUOTE_OPEN = ("「", "｢")
-QUOTE_CLOSE = ("」", "｣")
-COMMA_SURFACES = ("、", ",")
-CUT_OFF_PARTICLES = ("が", "と", "に", "を", "は", "も")
-CUT_OFF_MARKS = ("‥", "・")
-MARKUP = ("[[", "]]")
+MARKUP = ("[[", "]]")  # fixed value
 
 
-def is_predicate(token: Column) -> Column:
-    return token["word_class"].isin(tk.VERB, tk.ADJECTIVE, tk.AUXILIARY)
+def has(flags: Column, bits: int) -> Column:
+    return flags.bitwiseAND(F.lit(bits)) != 0
 
 
-def _marks(tokens: Column) -> Column:
+def _marks(flags: Column) -> Column:
     """One letter per token: ``(`` opens a quote, ``)`` closes one, ``|`` ends a sentence, ``]`` closes and ends."""
 
-    def mark(token, i):
-        before = F.get(tokens, i - 1)
-        after_conclusive = F.coalesce(F.contains(before["conjugation"], F.lit(tk.CONCLUSIVE)), F.lit(False))
-        after_predicate = F.coalesce(is_predicate(before), F.lit(False))
-        closes = token["surface"].isin(*QUOTE_CLOSE)
+    def mark(flag, i):
+        before = F.coalesce(F.get(flags, i - 1), F.lit(0))
         ends = (
-            F.contains(token["sub_class"], F.lit(tk.FULL_STOP))
-            | (contains_any(token["word_class"], (tk.SYMBOL, tk.BLANK)) & after_conclusive)
-            | (starts_with_emoji(token["surface"]) & after_predicate)
+            has(flag, Flag.STOP)
+            | (has(flag, Flag.PAUSE) & has(before, Flag.CONCLUSIVE))
+            | (has(flag, Flag.EMOJI) & has(before, Flag.PREDICATE))
         )
         return (
-            F.when(token["surface"].isin(*QUOTE_OPEN), "(")
-            .when(closes & ends, "]")
-            .when(closes, ")")
+            F.when(flag == 0, "-")
+            .when(has(flag, Flag.QUOTE_OPEN), "(")
+            .when(has(flag, Flag.QUOTE_CLOSE), F.when(ends, "]").otherwise(")"))
             .when(ends, "|")
             .otherwise("-")
         )
 
-    return F.array_join(F.transform(tokens, mark), "")
+    return F.array_join(F.transform(flags, mark), "")
 
 
 def _outside_quotes(marks: Column) -> Column:
@@ -58,53 +49,47 @@ def _outside_quotes(marks: Column) -> Column:
     return F.regexp_replace(marks, r"\(|(?!\A)\G[^)\]]", "-")
 
 
-def sentence_ends(tokens: Column) -> Column:
+def sentence_ends(flags: Column) -> Column:
     """1-based positions of the last token of each sentence; leftover tokens form the last one."""
-    marks = F.split(_outside_quotes(_marks(tokens)), "")
-    last = F.size(tokens)
+    marks = F.split(_outside_quotes(_marks(flags)), "")
+    last = F.size(flags)
     positions = F.transform(marks, lambda m, i: F.when(m.isin("|", "]") | (i + 1 == last), i + 1))
     return F.filter(positions, lambda p: p.isNotNull() & (p <= last))
 
 
-def split_sentences(chunks: DataFrame, tokens_col: str = "tokens", out: str = "sentence") -> DataFrame:
-    """Explode to (sent_no, ``out``: token array). A chunk without tokens keeps one row with nulls."""
-    tokens = F.col(tokens_col)
-    with_ends = chunks.withColumn("_ends", sentence_ends(tokens))
-    ends = F.col("_ends")
+def split_sentences(chunks: DataFrame) -> DataFrame:
+    """``surfaces`` and ``flags`` of a chunk to one row per sentence: sent_no, text (joined) and its flags.
 
-    def cut(end, i):
-        begin = F.coalesce(F.get(ends, i - 1), F.lit(0))
-        return F.slice(tokens, begin + 1, end - begin)
-
-    keep = [c for c in chunks.columns if c != tokens_col]
-    return with_ends.select(*keep, F.posexplode_outer(F.transform(ends, cut)).alias("sent_no", out))
+    A chunk without tokens keeps one row with nulls.
+    """
+    ends, surfaces, flags = F.col("_ends"), F.col("surfaces"), F.col("flags")
 
+    def sentence(end, i):
+        begin = F.coalesce(F.get(ends, i - 1), F.lit(0))
+        part = [begin + 1, end - begin]
+        return F.struct(
+            F.array_join(F.slice(surfaces, *part), "").alias("text"), F.slice(flags, *part).alias("flags")
+        )
 
-def join_surfaces(sentence: Column) -> Column:
-    return strip(F.array_join(F.transform(sentence, lambda t: t["surface"]), ""))
+    keep = [c for c in chunks.columns if c not in ("surfaces", "flags")]
+    return (
+        chunks.withColumn("_ends", sentence_ends(flags))
+        .select(*keep, F.posexplode_outer(F.transform(ends, sentence)).alias("sent_no", "_sentence"))
+        .select(*keep, "sent_no", strip(F.col("_sentence.text")).alias("text"), "_sentence.flags")
+    )
 
 
-def structure_fault(sentence: Column) -> Column:
-    """The first structural rule a token array breaks, or null."""
-    last = F.get(sentence, F.size(sentence) - 1)
-    content = F.filter(sentence, lambda t: ~t["word_class"].isin(tk.SYMBOL, tk.BLANK))
-    last_word = F.get(content, F.size(content) - 1)
-    text = F.array_join(F.transform(sentence, lambda t: t["surface"]), "")
+def structure_fault(text: Column, flags: Column) -> Column:
+    """The first structural rule a sentence breaks, or null."""
+    last = F.get(flags, F.size(flags) - 1)
+    words = F.filter(flags, lambda f: ~has(f, Flag.FILLER))
+    last_word = F.get(words, F.size(words) - 1)
     return (
-        F.when(~F.exists(sentence, is_predicate), "no_predicate")
-        .when(
-            F.contains(last["sub_class"], F.lit(tk.COMMA)) | last["surface"].isin(*COMMA_SURFACES), "ends_comma"
-        )
+        F.when(~F.exists(flags, lambda f: has(f, Flag.PREDICATE)), "no_predicate")
+        .when(has(last, Flag.COMMA), "ends_comma")
         .when(last_word.isNull(), "no_content")
-        .when(
-            (last_word["word_class"] == tk.PARTICLE) & last_word["surface"].isin(*CUT_OFF_PARTICLES),
-            "ends_particle",
-        )
-        .when(
-            ~F.coalesce(F.contains(last["sub_class"], F.lit(tk.FULL_STOP)), F.lit(False))
-            & F.contains(last_word["conjugation"], F.lit(tk.CONTINUATIVE)),
-            "ends_continuative",
-        )
+        .when(has(last_word, Flag.CUT_OFF_PARTICLE), "ends_particle")
+        .when(~has(last, Flag.STOP) & has(last_word, Flag.CONTINUATIVE), "ends_continuative")
         .when(contains_any(text, MARKUP), "markup")
-        .when(last["surface"].isin(*CUT_OFF_MARKS), "ends_mark")
+        .when(has(last, Flag.CUT_OFF_MARK), "ends_mark")
     )

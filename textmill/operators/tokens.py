@@ -1,14 +1,16 @@
-"""Analysers: text column to an array of tokens, at three granularities (A finest, C longest units).
+"""Analysers: text to tokens, at three granularities (A finest, C longest units).
 
-Everything downstream depends only on the token struct, so a morphological analyser is a plug-in
-(:class:`PythonAnalyser`). :class:`ScriptRunAnalyser` is the built-in stand-in: runs of one script become tokens and
-their endings decide the word class, all in column expressions.
+Everything downstream depends only on surfaces, normalized forms and rule flags, so a morphological analyser is a
+plug-in (:class:`PythonAnalyser`). :class:`ScriptRunAnalyser` is the built-in stand-in: runs of one script become
+tokens and their endings decide the word class, all in column expressions.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,33 +19,72 @@ from pyspark.sql import types as T
 
 from textmill.functions.chars import (
     DIGIT,
+    EMOJI,
     HALF_WIDTH_KATAKANA,
     HIRAGANA,
     KANJI,
     LATIN,
     WHITESPACE_CHARS,
     flatten_line_breaks,
-    let,
     starts_with_emoji,
 )
 
 MODES = ("A", "B", "C")
 
-TOKEN = T.StructType(
-    [
-        T.StructField("surface", T.StringType()),
-        T.StructField("word_class", T.StringType()),
-        T.StructField("sub_class", T.StringType()),
-        T.StructField("conjugation", T.StringType()),
-    ]
-)
-FORM = T.StructType([T.StructField("surface", T.StringType()), T.StructField("normalized", T.StringType())])
-
-# Names in the analyser's tag set that the sentence rules look for.
+# Names of the tag set and surfaces that the sentence rules look for.
 SYMBOL, BLANK, PARTICLE = "補助記号", "空白", "助詞"
 VERB, ADJECTIVE, AUXILIARY = "動詞", "形容詞", "助動詞"
 FULL_STOP, COMMA = "句点", "読点"
 CONCLUSIVE, CONTINUATIVE = "終止形", "連用形"
+QUOTE_OPEN = ("「", "｢")
+QUOTE_CLOSE = ("」", "｣")
+COMMA_SURFACES = ("、", ",")
+CUT_OFF_PARTICLES = ("が", "と", "に", "を", "は", "も")
+CUT_OFF_MARKS = ("‥", "・")
+
+
+class Tags(NamedTuple):
+    word_class: str
+    sub_class: str = "一般"
+    conjugation: str = "*"
+
+
+class Flag:
+    """What the sentence rules need to know about a token, as bits: an array of integers is all they carry along."""
+
+    STOP = 1  # full stop
+    PAUSE = 2  # symbol or blank: ends a sentence after a conclusive form
+    EMOJI = 4  # ends a sentence after a predicate
+    CONCLUSIVE = 8
+    PREDICATE = 16
+    QUOTE_OPEN = 32
+    QUOTE_CLOSE = 64
+    FILLER = 128  # not a word: skipped when looking for the last word
+    COMMA = 256
+    CUT_OFF_PARTICLE = 512
+    CONTINUATIVE = 1024
+    CUT_OFF_MARK = 2048
+
+
+_EMOJI_START = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), EMOJI) + "]")
+
+
+def rule_flags(surface: str, tags: Tags) -> int:
+    tests = (
+        (Flag.STOP, FULL_STOP in tags.sub_class),
+        (Flag.PAUSE, SYMBOL in tags.word_class or BLANK in tags.word_class),
+        (Flag.EMOJI, bool(_EMOJI_START.match(surface))),
+        (Flag.CONCLUSIVE, CONCLUSIVE in tags.conjugation),
+        (Flag.PREDICATE, tags.word_class in (VERB, ADJECTIVE, AUXILIARY)),
+        (Flag.QUOTE_OPEN, surface in QUOTE_OPEN),
+        (Flag.QUOTE_CLOSE, surface in QUOTE_CLOSE),
+        (Flag.FILLER, tags.word_class in (SYMBOL, BLANK)),
+        (Flag.COMMA, COMMA in tags.sub_class or surface in COMMA_SURFACES),
+        (Flag.CUT_OFF_PARTICLE, tags.word_class == PARTICLE and surface in CUT_OFF_PARTICLES),
+        (Flag.CONTINUATIVE, CONTINUATIVE in tags.conjugation),
+        (Flag.CUT_OFF_MARK, surface in CUT_OFF_MARKS),
+    )
+    return sum(bit for bit, holds in tests if holds)
 
 
 class ScriptRunAnalyser:
@@ -62,17 +103,15 @@ class ScriptRunAnalyser:
         rf"|[{LATIN}]+|[{DIGIT}]+|(?s:.)",
     }
 
-    # Endings by kind. Each kind goes by its first character, so one translation classifies an ending.
     STOPS = "。．.！!？?"
     COMMAS = "、，,"
-    SYMBOLS = "・‥…「」｢｣『』（）()［］[]【】＜＞<>：:；;-*#%&|$\"'/\\^~=+@_`{}"
-    CONCLUSIVE = "うくぐすつぬぶむる"
-    CONTINUATIVE = "きぎしちてにびみり"
-    ADJECTIVE = "い"
-    KINDS = (STOPS, COMMAS, SYMBOLS, WHITESPACE_CHARS, CONCLUSIVE, CONTINUATIVE)
-
-    PARTICLES = tuple("がとにをはものでへ")
+    SYMBOLS = "…『』（）()［］[]【】＜＞<>：:；;-*#%&|$\"'/\\^~=+@_`{}"
+    PARTICLES = "がとにをはも"
+    OTHER_PARTICLES = "のでへ"
     AUXILIARIES = ("た", "だ", "です", "ます", "ない")
+    CONCLUSIVE_ENDINGS = "うくぐすつぬぶむる"
+    CONTINUATIVE_ENDINGS = "きぎしちてにびみり"
+    ADJECTIVE_ENDINGS = "い"
 
     # Full-width letters and digits fold to ASCII, upper case to lower, katakana to hiragana.
     FOLD_FROM = (
@@ -94,71 +133,111 @@ class ScriptRunAnalyser:
     def normalize(self, surface: Column) -> Column:
         return F.translate(surface, self.FOLD_FROM, self.FOLD_TO)
 
-    def tokens(self, text: Column, mode: str = "C") -> Column:
-        return F.transform(self.surfaces(text, mode), self._tag)
-
     def forms(self, text: Column, mode: str = "C") -> Column:
         return F.transform(
             self.surfaces(text, mode),
             lambda s: F.struct(s.alias("surface"), self.normalize(s).alias("normalized")),
         )
 
-    def _tag(self, s: Column) -> Column:
-        kinds, firsts = "".join(self.KINDS), "".join(k[0] * len(k) for k in self.KINDS)
-        return let(F.translate(F.substring(s, -1, 1), kinds, firsts), lambda kind: self._tags(s, kind))
-
-    def _tags(self, s: Column, kind: Column) -> Column:
-        def tag(word_class, sub_class="一般", conjugation="*"):
+    def tokens(self, text: Column, mode: str = "C") -> Column:
+        def token(s):
+            tags = self._classify(s, lambda _, t: F.struct(*(F.lit(v).alias(n) for n, v in t._asdict().items())))
             return F.struct(
-                s.alias("surface"),
-                F.lit(word_class).alias("word_class"),
-                F.lit(sub_class).alias("sub_class"),
-                F.lit(conjugation).alias("conjugation"),
+                s.alias("surface"), self.normalize(s).alias("normalized"), *(tags[n].alias(n) for n in Tags._fields)
             )
 
-        return (
-            F.when(kind == WHITESPACE_CHARS[0], tag(BLANK))
-            .when(kind == self.STOPS[0], tag(SYMBOL, FULL_STOP))
-            .when(kind == self.COMMAS[0], tag(SYMBOL, COMMA))
-            .when(kind == self.SYMBOLS[0], tag(SYMBOL))
-            .when(s.isin(*self.PARTICLES), tag(PARTICLE))
-            .when(s.isin(*self.AUXILIARIES), tag(AUXILIARY, conjugation="終止形-一般"))
-            .when(kind == self.CONCLUSIVE[0], tag(VERB, conjugation="終止形-一般"))
-            .when(kind == self.CONTINUATIVE[0], tag(VERB, conjugation="連用形-一般"))
-            .when(kind == self.ADJECTIVE, tag(ADJECTIVE, conjugation="終止形-一般"))
-            .when(starts_with_emoji(s), tag(SYMBOL))
-            .otherwise(tag("名詞"))
-        )
+        return F.transform(self.surfaces(text, mode), token)
+
+    def annotate(self, texts: DataFrame, text_col: str) -> DataFrame:
+        """Add ``surfaces`` and ``flags``, two arrays of equal length in mode C."""
+        flags = F.transform("surfaces", lambda s: self._classify(s, lambda x, t: F.lit(rule_flags(x, t))))
+        return texts.withColumn("surfaces", self.surfaces(F.col(text_col))).withColumn("flags", flags)
+
+    def _classify(self, s: Column, result: Callable[[str, Tags], Column]) -> Column:
+        """Choose by surface or ending. ``result`` gets one surface of each kind, which stands for the others."""
+        ending = F.substring(s, -1, 1)
+        final, continuative = "終止形-一般", "連用形-一般"
+        kinds = [
+            (s.isin(*WHITESPACE_CHARS), " ", Tags(BLANK)),
+            (s.isin(*self.STOPS), "。", Tags(SYMBOL, FULL_STOP)),
+            (s.isin(*self.COMMAS), "、", Tags(SYMBOL, COMMA)),
+            (s.isin(*QUOTE_OPEN), "「", Tags(SYMBOL)),
+            (s.isin(*QUOTE_CLOSE), "」", Tags(SYMBOL)),
+            (s.isin(*CUT_OFF_MARKS), "・", Tags(SYMBOL)),
+            (s.isin(*self.SYMBOLS), "（", Tags(SYMBOL)),
+            (s.isin(*self.PARTICLES), "が", Tags(PARTICLE)),
+            (s.isin(*self.OTHER_PARTICLES), "の", Tags(PARTICLE)),
+            (s.isin(*self.AUXILIARIES), "です", Tags(AUXILIARY, conjugation=final)),
+            (ending.isin(*self.CONCLUSIVE_ENDINGS), "行く", Tags(VERB, conjugation=final)),
+            (ending.isin(*self.CONTINUATIVE_ENDINGS), "行き", Tags(VERB, conjugation=continuative)),
+            (ending.isin(*self.ADJECTIVE_ENDINGS), "赤い", Tags(ADJECTIVE, conjugation=final)),
+            (starts_with_emoji(s), "🧡", Tags(SYMBOL)),
+        ]
+        chosen = F
+        for holds, example, tags in kinds:
+            chosen = chosen.when(holds, result(example, tags))
+        return chosen.otherwise(result("犬", Tags("名詞")))
+
+
+TOKEN = T.ArrayType(
+    T.StructType([T.StructField(n, T.StringType()) for n in ("surface", "normalized", *Tags._fields)])
+)
+FORM = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("surface", "normalized")]))
+ANNOTATION = T.StructType(
+    [
+        T.StructField("surfaces", T.ArrayType(T.StringType())),
+        T.StructField("flags", T.ArrayType(T.IntegerType())),
+    ]
+)
 
 
 class PythonAnalyser:
     """A user's analyser, applied to Arrow batches inside the tasks.
 
     ``factory`` runs once per task and returns ``analyse(text, mode)``, which yields (surface, normalized, word class,
-    sub-class, conjugation form) per token. A text on which it raises gets a null array from :meth:`tokens`, and the
-    caller rejects that text; :meth:`forms` lets the error fail the job.
+    sub-class, conjugation form) per token. :meth:`annotate` gives null arrays for a text on which it raises, and the
+    extraction rejects that text; elsewhere the error fails the job.
     """
 
     def __init__(self, factory: Callable[[], Callable[[str, str], Iterable[tuple]]]):
         self.factory = factory
 
+    def forms(self, text: Column, mode: str = "C") -> Column:
+        return self._udf(FORM, mode, lambda tokens: [{"surface": t[0], "normalized": t[1]} for t in tokens])(text)
+
     def tokens(self, text: Column, mode: str = "C") -> Column:
-        return self._udf(mode, TOKEN, (0, 2, 3, 4), null_on_error=True)(text)
+        names = TOKEN.elementType.names
+        return self._udf(TOKEN, mode, lambda tokens: [dict(zip(names, t)) for t in tokens])(text)
 
-    def forms(self, text: Column, mode: str = "C") -> Column:
-        return self._udf(mode, FORM, (0, 1), null_on_error=False)(text)
+    def annotate(self, texts: DataFrame, text_col: str) -> DataFrame:
+        """Add ``surfaces`` and ``flags``, two arrays of equal length in mode C; null where the analyser failed."""
+        arrays = T.ArrayType(ANNOTATION)
+
+        def annotation(tokens):
+            tokens = list(tokens)
+            return [
+                {"surfaces": [t[0] for t in tokens], "flags": [rule_flags(t[0], Tags(*t[2:5])) for t in tokens]}
+            ]
+
+        found = self._udf(arrays, "C", annotation, null_on_error=True)(F.col(text_col))
+        return (
+            texts.withColumn("_found", F.get(found, F.lit(0)))
+            .withColumn("surfaces", F.col("_found.surfaces"))
+            .withColumn("flags", F.col("_found.flags"))
+            .drop("_found")
+        )
 
-    def _udf(self, mode: str, fields: T.StructType, picks: tuple[int, ...], null_on_error: bool):
-        factory, names = self.factory, fields.names
+    def _udf(self, returns: T.DataType, mode: str, collect: Callable, null_on_error: bool = False):
+        factory = self.factory
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             analyse = factory()
 
-            def rows(text):
+            def one(text):
                 if text is None:
                     return None
                 try:
-                    return [{name: token[i] for name, i in zip(names, picks)} for token in analyse(text, mode)]
+                    return collect(analyse(text, mode))
                 except Exception:
                     if not null_on_error:
                         raise
@@ -166,22 +245,17 @@ class PythonAnalyser:
                     return None
 
             for batch in batches:
-                yield batch.map(rows)
+                yield batch.map(one)
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        return F.pandas_udf(run, T.ArrayType(fields))
+        return F.pandas_udf(run, returns)
 
 
 def explode_tokens(texts: DataFrame, analyser, mode: str = "C", text_col: str = "chunk") -> DataFrame:
-    """Token table: the other columns of ``texts`` plus pos and the token's tags and forms."""
+    """Token table: the other columns of ``texts`` plus pos, forms and tags."""
     keep = [c for c in texts.columns if c != text_col]
-    text = F.col(text_col)
-    both = F.zip_with(
-        analyser.tokens(text, mode),
-        analyser.forms(text, mode),
-        lambda t, f: F.struct(t["surface"], f["normalized"], *(t[n] for n in TOKEN.names[1:])),
-    )
-    return texts.select(*keep, F.posexplode(both).alias("pos", "token")).select(*keep, "pos", "token.*")
+    tokens = analyser.tokens(F.col(text_col), mode)
+    return texts.select(*keep, F.posexplode(tokens).alias("pos", "token")).select(*keep, "pos", "token.*")
 
 
 def _in_mode(forms: Column, mode: str) -> Column:
