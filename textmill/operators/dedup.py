@@ -23,8 +23,12 @@ def dedup_in_document(extracted: DataFrame) -> DataFrame:
 
 
 def distinct_sentences(extracted: DataFrame) -> DataFrame:
-    """Each clean sentence once over all documents: a hash aggregate on the sentence and nothing else."""
-    return accepted(extracted).select("clean").distinct()
+    """Each clean sentence once over all documents: a hash aggregate on the sentence and nothing else.
+
+    An accepted sentence is never null; saying so gives every branch of a later join the same scan, and Spark then
+    runs the shuffle once for all of them.
+    """
+    return accepted(extracted).filter(F.col("clean").isNotNull()).select("clean").distinct()
 
 
 def first_copies(extracted: DataFrame) -> DataFrame:

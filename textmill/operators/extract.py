@@ -49,7 +49,8 @@ def rate_sentences(sentences: DataFrame, min_density: float = MIN_DENSITY) -> Da
     """Add ``clean``, ``density``, ``kept_chars``, ``reject_reason`` and ``status`` (accepted, rejected or blank).
 
     ``clean`` is null for a sentence that never reaches cleaning. ``kept_chars`` counts accepted sentences, copies
-    included.
+    included. The verdict leaves through a one-element array: without it a later filter on ``status`` would move below
+    the projections and repeat the whole cleaning inside its condition.
     """
     raw, clean = F.col("raw"), F.col("clean")
     early = (
@@ -61,6 +62,8 @@ def rate_sentences(sentences: DataFrame, min_density: float = MIN_DENSITY) -> Da
     status = (
         F.when(raw == "", "blank").when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
     )
+    verdict = ["clean", "density", "reject_reason", "status", "kept_chars"]
+    keep = [c for c in sentences.columns if c != "fault"]
     return (
         sentences.withColumn("early", early)
         .withColumn("clean", F.when(F.col("early").isNull() & (raw != ""), clean_sentence(raw)))
@@ -71,7 +74,7 @@ def rate_sentences(sentences: DataFrame, min_density: float = MIN_DENSITY) -> Da
             "kept_chars",
             F.when(F.col("status") == "accepted", chars.japanese_chars(clean)).otherwise(F.lit(0)).cast("long"),
         )
-        .drop("fault", "early")
+        .select(*keep, F.inline(F.array(F.struct(*verdict))))
     )
 
 
