@@ -26,7 +26,7 @@ from textmill.operators import compare, dedup, freq, lines, outliers, stats, voc
 from textmill.operators.extract import extract_sentences, segment_documents
 from textmill.operators.rank import top_n
 from textmill.operators.split import TRAIN, VALIDATION, hash_bucket, with_split
-from textmill.operators.tokens import MODES, explode_tokens
+from textmill.operators.tokens import explode_tokens, with_forms
 from textmill.plans import corpus as plans
 from textmill.plans.report import compare_splits
 from textmill.sinks import tables
@@ -227,8 +227,8 @@ def unbalanced_brackets(spark, sf_dir):
 
 def _token_counts(spark, sf_dir, mode: str) -> DataFrame:
     chunks = lines.explode_chunks(documents(spark, sf_dir))
-    forms = chunks.select(F.inline(ANALYSER.forms(F.col("chunk"), mode)))
-    return forms.groupBy("surface", "normalized").agg(F.count(F.lit(1)).alias("cnt"))
+    units = chunks.select(F.explode(ANALYSER.units(F.col("chunk"), mode)).alias("unit"))
+    return with_forms(units.groupBy("unit").agg(F.count(F.lit(1)).alias("cnt")), ANALYSER)
 
 
 @query

@@ -6,9 +6,10 @@ from textmill.operators.tokens import (
     PythonAnalyser,
     ScriptRunAnalyser,
     Tags,
-    explode_forms,
     explode_tokens,
+    explode_units,
     rule_flags,
+    with_forms,
 )
 
 TEXT = "東京へ行った。「カタカナ・テスト」12３ abc🧡\n走る"
@@ -67,11 +68,15 @@ def test_python_analyser(spark):
     assert statuses == {"これは|。|失": "rejected", "それは。": "accepted", "あれ": "accepted"}
 
 
-def test_python_analyser_forms(spark):
-    texts = spark.createDataFrame([("Ab|c",)], "clean string")
-    forms = explode_forms(texts, PythonAnalyser(characters()), modes=("A", "C"))
+def test_python_analyser_units(spark):
+    texts = spark.createDataFrame([("Ab|c\n",)], "clean string")
+    analyser = PythonAnalyser(characters())
+    forms = with_forms(explode_units(texts, analyser, modes=("A", "C")), analyser)
     got = sorted((r.mode, r.surface, r.normalized) for r in forms.collect())
-    assert got == [("A", "A", "a"), ("A", "b", "b"), ("A", "c", "c"), ("A", "|", "|"), ("C", "Ab", "ab"), ("C", "c", "c")]
+    assert got == [
+        ("A", " ", " "), ("A", "A", "a"), ("A", "b", "b"), ("A", "c", "c"), ("A", "|", "|"),
+        ("C", "Ab", "ab"), ("C", "c ", "c "),
+    ]
 
 
 def test_long_lines_are_cut(spark):

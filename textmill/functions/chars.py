@@ -37,7 +37,7 @@ _WHITESPACE_RANGES = (
 )
 WHITESPACE_CHARS = "".join(chr(c) for low, high in _WHITESPACE_RANGES for c in range(low, high + 1))
 
-_LINE_BREAKS = chr(0x2028) + chr(0x2029) + "\n\r"
+LINE_BREAKS = chr(0x2028) + chr(0x2029) + "\n\r"
 
 
 def let(value: Column, body) -> Column:
@@ -114,4 +114,8 @@ def contains_any(text: Column, words) -> Column:
 
 def flatten_line_breaks(text: Column) -> Column:
     """Line and paragraph separators become spaces, so a token fits on one line of a table file."""
-    return F.translate(text, _LINE_BREAKS, " " * len(_LINE_BREAKS))
+    return F.translate(text, LINE_BREAKS, " " * len(LINE_BREAKS))
+
+
+def has_line_breaks(text: Column) -> Column:
+    return text.rlike(f"[{LINE_BREAKS}]")

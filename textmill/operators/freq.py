@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.operators.rank import global_rank
-from textmill.operators.tokens import MODES, explode_forms
+from textmill.operators.tokens import MODES, explode_units, with_forms
 
 MAX_TYPES = 1_000_000  # fixed value: rows kept per split
 
@@ -18,9 +18,10 @@ def frequency_order():
 
 def token_frequencies(sentences: DataFrame, analyser, by=("split",), text_col: str = "clean") -> DataFrame:
     """Counts per (surface, normalized) in modes A, B and C: one pass, one shuffle, never a missing count."""
-    forms = explode_forms(sentences.select(*by, text_col), analyser, text_col=text_col)
+    units = explode_units(sentences.select(*by, text_col), analyser, text_col=text_col)
     counts = [F.count_if(F.col("mode") == mode).alias(f"cnt_{mode.lower()}") for mode in MODES]
-    return forms.groupBy(*by, "surface", "normalized").agg(*counts)
+    counted = with_forms(units.groupBy(*by, "unit").agg(*counts), analyser)
+    return counted.select(*by, "surface", "normalized", "cnt_a", "cnt_b", "cnt_c")
 
 
 def top_types(freq: DataFrame, n: int = MAX_TYPES, by=("split",)) -> DataFrame:

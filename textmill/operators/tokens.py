@@ -1,7 +1,8 @@
 """Analysers: text to tokens, at three granularities (A finest, C longest units).
 
 Everything downstream depends only on surfaces, normalized forms and rule flags, so a morphological analyser is a
-plug-in (:class:`PythonAnalyser`). :class:`ScriptRunAnalyser` is the built-in stand-in: runs of one script become
+plug-in (:class:`PythonAnalyser`). Counting and lookups handle *units*, the smallest value that determines a token's
+forms: the surface alone where the normalized form follows from it, else both. :class:`ScriptRunAnalyser` is the built-in stand-in: runs of one script become
 tokens and their endings decide the word class, all in column expressions.
 """
 
@@ -24,8 +25,10 @@ from textmill.functions.chars import (
     HIRAGANA,
     KANJI,
     LATIN,
+    LINE_BREAKS,
     WHITESPACE_CHARS,
     flatten_line_breaks,
+    has_line_breaks,
     starts_with_emoji,
 )
 
@@ -133,11 +136,18 @@ class ScriptRunAnalyser:
     def normalize(self, surface: Column) -> Column:
         return F.translate(surface, self.FOLD_FROM, self.FOLD_TO)
 
-    def forms(self, text: Column, mode: str = "C") -> Column:
-        return F.transform(
-            self.surfaces(text, mode),
-            lambda s: F.struct(s.alias("surface"), self.normalize(s).alias("normalized")),
-        )
+    def units(self, text: Column, mode: str = "C", flat: bool = False) -> Column:
+        """Array of surfaces; with ``flat``, line breaks inside them are spaces."""
+        surfaces = self.surfaces(text, mode)
+        if not flat:
+            return surfaces
+        return F.when(has_line_breaks(text), F.transform(surfaces, flatten_line_breaks)).otherwise(surfaces)
+
+    def surface(self, unit: Column) -> Column:
+        return unit
+
+    def normalized(self, unit: Column) -> Column:
+        return self.normalize(unit)
 
     def tokens(self, text: Column, mode: str = "C") -> Column:
         def token(s):
@@ -182,6 +192,7 @@ class ScriptRunAnalyser:
 TOKEN = T.ArrayType(
     T.StructType([T.StructField(n, T.StringType()) for n in ("surface", "normalized", *Tags._fields)])
 )
+FLAT = str.maketrans(LINE_BREAKS, " " * len(LINE_BREAKS))
 FORM = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("surface", "normalized")]))
 ANNOTATION = T.StructType(
     [
@@ -202,8 +213,19 @@ class PythonAnalyser:
     def __init__(self, factory: Callable[[], Callable[[str, str], Iterable[tuple]]]):
         self.factory = factory
 
-    def forms(self, text: Column, mode: str = "C") -> Column:
-        return self._udf(FORM, mode, lambda tokens: [{"surface": t[0], "normalized": t[1]} for t in tokens])(text)
+    def units(self, text: Column, mode: str = "C", flat: bool = False) -> Column:
+        """Array of (surface, normalized); with ``flat``, line breaks inside them are spaces."""
+        clean = (lambda form: form.translate(FLAT)) if flat else (lambda form: form)
+        forms = self._udf(
+            FORM, mode, lambda tokens: [{"surface": clean(t[0]), "normalized": clean(t[1])} for t in tokens]
+        )
+        return forms(text)
+
+    def surface(self, unit: Column) -> Column:
+        return unit["surface"]
+
+    def normalized(self, unit: Column) -> Column:
+        return unit["normalized"]
 
     def tokens(self, text: Column, mode: str = "C") -> Column:
         names = TOKEN.elementType.names
@@ -258,19 +280,18 @@ def explode_tokens(texts: DataFrame, analyser, mode: str = "C", text_col: str =
     return texts.select(*keep, F.posexplode(tokens).alias("pos", "token")).select(*keep, "pos", "token.*")
 
 
-def _in_mode(forms: Column, mode: str) -> Column:
-    return F.transform(
-        forms,
-        lambda t: F.struct(
-            F.lit(mode).alias("mode"),
-            flatten_line_breaks(t["surface"]).alias("surface"),
-            flatten_line_breaks(t["normalized"]).alias("normalized"),
-        ),
-    )
+def explode_units(texts: DataFrame, analyser, modes=MODES, text_col: str = "clean") -> DataFrame:
+    """(mode, unit) of every token in every mode, line breaks flattened; one pass over the texts."""
+    keep = [c for c in texts.columns if c != text_col]
+    text = F.col(text_col)
+    per_mode = [
+        F.struct(F.lit(mode).alias("mode"), analyser.units(text, mode, flat=True).alias("units")) for mode in modes
+    ]
+    return texts.select(*keep, F.inline(F.array(*per_mode))).select(*keep, "mode", F.explode("units").alias("unit"))
 
 
-def explode_forms(texts: DataFrame, analyser, modes=MODES, text_col: str = "clean") -> DataFrame:
-    """(mode, surface, normalized) of every token in every mode; one pass over the texts."""
-    keep = [c for c in texts.columns if c != text_col]
-    per_mode = [_in_mode(analyser.forms(F.col(text_col), mode), mode) for mode in modes]
-    return texts.select(*keep, F.inline(F.concat(*per_mode)))
+def with_forms(units: DataFrame, analyser) -> DataFrame:
+    """Replace ``unit`` by surface and normalized."""
+    unit, keep = F.col("unit"), [c for c in units.columns if c != "unit"]
+    surface, normalized = analyser.surface(unit).alias("surface"), analyser.normalized(unit).alias("normalized")
+    return units.select(surface, normalized, *keep)

@@ -25,24 +25,23 @@ def flag_unknown_words(
 
     ``sentences`` must be distinct on ``clean``. With a vocabulary small enough to broadcast, the sentences found
     stay in the partitions the duplicate removal left them in, and the join back needs no further shuffle. A larger
-    vocabulary meets the distinct token types instead of the tokens, so frequent words are joined once.
+    vocabulary meets the distinct units instead of the tokens, so frequent words are joined once.
     """
     words = vocab.select("word").distinct()
-    forms = sentences.select(
-        "clean", F.explode(F.array_distinct(analyser.forms(F.col("clean"), "C"))).alias("form")
-    ).select("clean", "form.surface", "form.normalized")
+    units = sentences.select("clean", F.explode(F.array_distinct(analyser.units(F.col("clean")))).alias("unit"))
     if fits_broadcast(words, broadcast_limit):
-        unknown = _without(_without(forms, F.broadcast(words), "surface"), F.broadcast(words), "normalized")
+        unknown = _unknown(units, F.broadcast(words), analyser)
     else:
-        types = forms.select("surface", "normalized").distinct()
-        unknown_types = _without(_without(types, words, "surface"), words, "normalized")
-        unknown = forms.join(unknown_types, ["surface", "normalized"], "left_semi")
+        unknown = units.join(_unknown(units.select("unit").distinct(), words, analyser), "unit", "left_semi")
     hits = unknown.select("clean").distinct().withColumn("oov", F.lit(True))
     return sentences.join(hits, "clean", "left").withColumn("oov", F.coalesce("oov", F.lit(False)))
 
 
-def _without(forms: DataFrame, words: DataFrame, col: str) -> DataFrame:
-    return forms.join(words, forms[col] == words["word"], "left_anti")
+def _unknown(units: DataFrame, words: DataFrame, analyser) -> DataFrame:
+    """Rows whose ``unit`` is in ``words`` by neither form. Only the remaining surfaces are normalized."""
+    by_surface = analyser.surface(F.col("unit")) == F.col("word")
+    by_normalized = analyser.normalized(F.col("unit")) == F.col("word")
+    return units.join(words, by_surface, "left_anti").join(words, by_normalized, "left_anti")
 
 
 def attach_percentiles(
