@@ -8,18 +8,21 @@ from pyspark.sql import types as T
 VOCAB = T.StructType([T.StructField("word", T.StringType()), T.StructField("rank", T.LongType())])
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+def read_vocabulary(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
     """A UTF-8 text file with one word per line, most frequent first; blank lines do not count.
 
     The rank is the line's place in the file. DataFrame readers do not promise file order, so the lines come from the
     Hadoop input format, whose splits do.
     """
+    conf = {"textinputformat.record.delimiter": "\n"}
+    if split_bytes:
+        conf["mapreduce.input.fileinputformat.split.maxsize"] = str(split_bytes)
     lines = spark.sparkContext.newAPIHadoopFile(
         path,
         "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
         "org.apache.hadoop.io.LongWritable",
         "org.apache.hadoop.io.Text",
-        conf={"textinputformat.record.delimiter": "\n"},
+        conf=conf,
     )
     words = lines.map(lambda entry: entry[1].strip()).filter(bool)
     return spark.createDataFrame(words.zipWithIndex(), VOCAB)
