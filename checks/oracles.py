@@ -466,7 +466,7 @@ FROM (SELECT sum({count_of('text', JAPANESE)}) AS orig_chars FROM docs),
         SPLITTED,
         f"""SELECT split, count(*) AS sentence_count, round((SELECT sum(kept_chars) FROM rated)::DOUBLE
     / (SELECT sum({count_of('text', JAPANESE)}) FROM docs), 6) AS kanji_kana_retention_ratio,
-  'documents' AS source FROM split_clean GROUP BY split""",
+  'documents' AS source, 'documents.parquet' AS base FROM split_clean GROUP BY split""",
     ),
     "reject_pool": query(
         (*FILTERED, POOL), "SELECT text, reject_reason, count(*) AS copies FROM pool GROUP BY text, reject_reason"
@@ -481,6 +481,13 @@ FROM (SELECT sum({count_of('text', JAPANESE)}) AS orig_chars FROM docs),
         ),
     ),
     "sampled_rejects": query((*FILTERED, POOL), sample("pool", "place || ':' || text", 100, 7)),
+    "sampled_rejects_per_split": query(
+        (*FILTERED, POOL),
+        """SELECT text, reject_reason, place, split FROM pool, (VALUES ('train'), ('validation')) AS s(split)
+WHERE contains(text, '2022') OR contains(text, '2023') OR contains(text, '⭐') OR contains(text, '▶')
+QUALIFY row_number() OVER (PARTITION BY split
+  ORDER BY md5('7:' || split || ':' || place || ':' || text), split, place, text) <= 100""",
+    ),
     "sampled_sentences": query(
         SPLITTED,
         """SELECT clean, split FROM split_clean

@@ -387,7 +387,7 @@ def retention_ratio(spark, sf_dir):
 def split_metadata(spark, sf_dir):
     found = stage_table(extracted(spark, sf_dir), "extracted")
     ratio = stats.retention(found).first()["ratio"]
-    return stats.split_metadata(with_split(dedup.distinct_sentences(found)), ratio, ["documents"])
+    return stats.split_metadata(with_split(dedup.distinct_sentences(found)), ratio, {"documents": "documents.parquet"})
 
 
 @query
@@ -407,6 +407,12 @@ def sampled_rejects(spark, sf_dir):
     return stats.uniform_sample(staged_rejects(spark, sf_dir), ["place", "text"], seed=7)
 
 
+@query
+def sampled_rejects_per_split(spark, sf_dir):
+    found = stats.watched(staged_rejects(spark, sf_dir))
+    return stats.sample_per_split(found, stats.SAMPLE_SIZE, seed=7)
+
+
 @query
 def sampled_sentences(spark, sf_dir):
     return stats.uniform_sample(split_distinct(spark, sf_dir), ["clean"], seed=7, by=["split"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRAIN, VALIDATION = "train", "validation"
+SPLITS = TRAIN, VALIDATION = ("train", "validation")
 
 
 def hash_bucket(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions.chars import contains_any
 from textmill.operators.extract import ORDINALS
 from textmill.operators.rank import top_n
+from textmill.operators.split import SPLITS
 
 # Fixed values.
 WATCH_WORDS = ("2022", "2023", "⭐", "▶")
@@ -62,16 +63,28 @@ def uniform_sample(rows: DataFrame, key: list[str], n: int = SAMPLE_SIZE, seed:
     return top_n(rows.withColumn("_digest", digest), order, n, by).drop("_digest")
 
 
+def sample_per_split(rejects: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """One sample for each split, drawn independently from the one pool the splits share."""
+    offered = rejects.withColumn("split", F.explode(F.array(*map(F.lit, SPLITS))))
+    return uniform_sample(offered, ["split", "place", "text"], n, seed, ["split"])
+
+
 def top_by_text(rows: DataFrame, n: int = SAMPLE_SIZE, text_col: str = "clean") -> DataFrame:
     """The ``n`` largest texts in code-point order."""
     return top_n(rows, [F.desc(text_col)], n)
 
 
-def split_metadata(sentences: DataFrame, retained: float, sources: list[str]) -> DataFrame:
-    """One row per split; the retention ratio covers all documents and is the same for each."""
+def split_metadata(sentences: DataFrame, retained: float, sources: dict[str, str]) -> DataFrame:
+    """One row per split, empty splits included, from one pass. ``sources`` maps names to paths.
+
+    The retention ratio covers all documents and is the same for each split.
+    """
+    counts = [F.count_if(F.col("split") == s).alias(s) for s in SPLITS]
+    per_split = [F.struct(F.lit(s).alias("split"), F.col(s).alias("sentence_count")) for s in SPLITS]
     return (
-        sentences.groupBy("split")
-        .agg(F.count(F.lit(1)).alias("sentence_count"))
+        sentences.agg(*counts)
+        .select(F.inline(F.array(*per_split)))
         .withColumn("kanji_kana_retention_ratio", F.round(F.lit(float(retained)), 6))
         .withColumn("source", F.lit(", ".join(sources)))
+        .withColumn("base", F.lit(", ".join(sources.values())))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.operators.rank import MAX_MERGED_ROWS, top_n
+from textmill.storage import fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,8 @@ def take_by_hash(docs: DataFrame, n: int) -> DataFrame:
     """
     ids = docs.select("source", "doc_id", F.md5("text").alias("digest"))
     chosen = top_n(ids, [F.desc("digest"), F.asc("source"), F.asc("doc_id")], n).drop("digest")
-    return docs.join(F.broadcast(chosen) if n <= MAX_MERGED_ROWS else chosen, ["source", "doc_id"], "left_semi")
+    small = n <= MAX_MERGED_ROWS or fits_broadcast(chosen)
+    return docs.join(F.broadcast(chosen) if small else chosen, ["source", "doc_id"], "left_semi")
 
 
 def spread(docs: DataFrame, tasks: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ UNKNOWN = "x"
 def read_frequencies(spark: SparkSession, path: str, min_fields: int = 5, drop_hash_rows: bool = False) -> DataFrame:
     """surface, normalized, counts A, B, C and an optional percentile (``x`` or absent: null).
 
-    Lines with fewer fields or without numeric counts are skipped. ``drop_hash_rows`` also skips lines that begin
+    Lines with fewer fields or without a numeric mode-C count are skipped. ``drop_hash_rows`` also skips lines that begin
     with ``#``, for files that carry their header inside; a word may begin with ``#`` as well, so it is off by default.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
@@ -29,5 +29,5 @@ def read_frequencies(spark: SparkSession, path: str, min_fields: int = 5, drop_h
             F.get("f", F.lit(4)).try_cast("long").alias("cnt_c"),
             F.get("f", F.lit(5)).try_cast("double").alias("percentile"),
         )
-        .filter(F.col("cnt_a").isNotNull() & F.col("cnt_b").isNotNull() & F.col("cnt_c").isNotNull())
+        .filter(F.col("cnt_c").isNotNull())
     )
