@@ -50,7 +50,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mode-C words of the benchmark and the conversations, most frequent first."""
-    texts = table(spark, sf_dir, "benchmark").select("text").unionAll(table(spark, sf_dir, "conversations").select("text"))
+    benchmark, conversations = (table(spark, sf_dir, n).select("text") for n in ("benchmark", "conversations"))
+    texts = benchmark.unionAll(conversations)
     words = texts.select(F.explode(ANALYSER.surfaces(japanese(F.col("text")), "C")).alias("word"))
     counted = words.groupBy("word").count()
     ranked = global_rank(counted, [F.desc("count"), F.asc("word")])

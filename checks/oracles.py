@@ -524,7 +524,7 @@ QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('7:' || clean), clean
   round(observed - listed, 6) AS gap, round(abs(observed - listed), 6) AS abs_gap FROM (
   SELECT surface, cnt_c, round_even(percentile, 2) AS listed, 100.0::DOUBLE * (1.0::DOUBLE - (row_number() OVER (
       ORDER BY cnt_c DESC, cnt_b DESC, cnt_a DESC, surface) - 1)::DOUBLE / count(*) OVER ()) AS observed
-  FROM listed WHERE split = 'train' AND percentile IS NOT NULL AND cnt_c >= 20 AND surface = normalized)
+  FROM listed WHERE split = 'train' AND percentile IS NOT NULL AND cnt_c >= 100 AND surface = normalized)
 ORDER BY abs(observed - listed) DESC, surface LIMIT 20""",
     ),
     "corpus_files": query(SPLITTED, "SELECT split, clean FROM split_clean"),

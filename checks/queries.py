@@ -17,7 +17,6 @@ from checks.inputs import (
     NUMBERED_FROM,
     NUMBERED_TO,
     documents,
-    japanese,
     table,
     vocabulary,
 )
@@ -462,14 +461,16 @@ def validation_only_top(spark, sf_dir):
 @query
 def unknown_words_top(spark, sf_dir):
     found = stage_table(words(spark, sf_dir), "words")
-    parts = [compare.most_frequent(compare.unknown_in(found, s)).withColumn("split", F.lit(s)) for s in (TRAIN, VALIDATION)]
+    parts = [
+        compare.most_frequent(compare.unknown_in(found, s)).withColumn("split", F.lit(s)) for s in (TRAIN, VALIDATION)
+    ]
     return parts[0].unionByName(parts[1])
 
 
 @query
 def percentile_gap_outliers(spark, sf_dir):
     train = frequencies(spark, sf_dir).filter(F.col("split") == TRAIN)
-    found = outliers.largest_gaps(outliers.percentile_gaps(train, min_count=20))
+    found = outliers.largest_gaps(outliers.percentile_gaps(train))
     return found.select("surface", "cnt_c", *(r6(c).alias(c) for c in ("observed", "listed", "gap", "abs_gap")))
 
 

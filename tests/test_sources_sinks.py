@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textmill.__main__ import document_sources, parse
 from textmill.sinks import tables
-from textmill.sources.documents import DocumentSource, spread, take_by_hash, union_sources
+from textmill.sources.documents import TASKS_PER_CORE, DocumentSource, spread, take_by_hash, union_sources
 from textmill.sources.frequencies import read_frequencies
 from textmill.sources.vocabulary import read_vocabulary, read_vocabulary_table
 from textmill.storage import stage_table
@@ -56,7 +56,7 @@ def test_take_by_hash(spark, collections, n):
 
 def test_spread(spark, collections):
     docs = union_sources(spark, collections)
-    assert spread(docs, 16).rdd.getNumPartitions() == 16
+    assert spread(docs, 16).rdd.getNumPartitions() == 16 * TASKS_PER_CORE
     assert spread(docs, 1).rdd.getNumPartitions() == docs.rdd.getNumPartitions()
     assert spread(docs, 16).count() == 42
 

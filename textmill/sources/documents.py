@@ -63,10 +63,16 @@ def take_by_hash(docs: DataFrame, n: int) -> DataFrame:
     return docs.join(F.broadcast(chosen) if small else chosen, ["source", "doc_id"], "left_semi")
 
 
-def spread(docs: DataFrame, tasks: int | None = None) -> DataFrame:
+TASKS_PER_CORE = 4
+
+
+def spread(docs: DataFrame, cores: int | None = None) -> DataFrame:
     """Give every core work where a collection has few, large row groups; a scan with enough tasks is left alone.
 
-    Extraction does far more work per byte than the scan, so shuffling a small collection first pays off.
+    Extraction does far more work per byte than the scan, so shuffling a small collection first pays off. Several tasks
+    per core even out long documents. ``docs`` must be a plain scan: counting the partitions of a shuffle would run it.
     """
-    tasks = tasks or docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(tasks, "source", "doc_id") if docs.rdd.getNumPartitions() < tasks else docs
+    cores = cores or docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() >= cores:
+        return docs
+    return docs.repartition(cores * TASKS_PER_CORE, "source", "doc_id")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 UNKNOWN = "x"
 
 
-def read_frequencies(spark: SparkSession, path: str, min_fields: int = 5, drop_hash_rows: bool = False) -> DataFrame:
+def read_frequencies(
+    spark: SparkSession, path: str, min_fields: int = 5, drop_hash_rows: bool = False
+) -> DataFrame:
     """surface, normalized, counts A, B, C and an optional percentile (``x`` or absent: null).
 
     Lines with fewer fields or without a numeric mode-C count are skipped. ``drop_hash_rows`` also skips lines that begin
