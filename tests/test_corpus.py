@@ -153,3 +153,13 @@ def test_limited_run(spark, docs, words, tmp_path):
     source = DocumentSource("web", f"{tmp_path}/web", id_cols=("doc_id",))
     assert plans.load_documents(spark, [source], max_docs=7).count() == 7
     assert plans.load_documents(spark, [source]).count() == 60
+
+
+def test_copies_that_make_up_a_third_of_the_rows(spark, words):
+    texts = ["犬が行く。" if i % 3 == 0 else f"犬が行く。{i}に鳥は走る。" for i in range(3_000)]
+    rows = [("web", f"{i:05d}", t) for i, t in enumerate(texts)]
+    found = extract_sentences(spark.createDataFrame(rows, "source string, doc_id string, text string"), ANALYSER)
+    copies = {r.clean: (r.doc_id, r.copies) for r in dedup.first_copies(found).collect()}
+    assert copies["犬が行く。"] == ("00000", 3_000) and len(copies) == 2_001
+    flagged = plans.flag_unknown_words(dedup.distinct_sentences(found), words, ANALYSER, 0).collect()
+    assert len(flagged) == 2_001 and [r.clean for r in flagged if not r.oov] == ["犬が行く。"]
