@@ -162,4 +162,5 @@ def test_copies_that_make_up_a_third_of_the_rows(spark, words):
     copies = {r.clean: (r.doc_id, r.copies) for r in dedup.first_copies(found).collect()}
     assert copies["犬が行く。"] == ("00000", 3_000) and len(copies) == 2_001
     flagged = plans.flag_unknown_words(dedup.distinct_sentences(found), words, ANALYSER, 0).collect()
-    assert len(flagged) == 2_001 and [r.clean for r in flagged if not r.oov] == ["犬が行く。"]
+    known = {"犬が行く。"} | {f"{i}に鳥は走る。" for i in range(200, 209) if i % 3}  # 200 to 208 are listed
+    assert len(flagged) == 2_001 and {r.clean for r in flagged if not r.oov} == known
