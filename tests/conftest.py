@@ -8,7 +8,8 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folders = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[*]")
         .appName("textmill-tests")
@@ -16,6 +17,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{folders}/shared")
+        .config("spark.sql.warehouse.dir", f"file://{folders}/warehouse")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
