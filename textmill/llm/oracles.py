@@ -108,3 +108,54 @@ SELECT doc_id, size, source_size, target,
        (size * least(floor(place * rate + u) - floor((place - 1) * rate + u), {mixing.MAX_COPIES}))::BIGINT AS taken
 FROM rated
 """
+
+ORACLES["op2_minhash"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS s
+  FROM docs),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared WHERE 100 * common >= 85 * (na + nb - common)),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM sets
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.seen) AS component_id, min(r.seen) = s.doc_id AS kept
+FROM sets s JOIN reach r ON s.doc_id = r.node GROUP BY s.doc_id, s.s
+"""
+
+ORACLES["op5_decontamination"] = r"""
+WITH folded AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+tokens AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM folded),
+grams AS (
+  SELECT DISTINCT id AS item_id, least(len(w), 10) AS n,
+         unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS g
+  FROM tokens WHERE kind = 'b' AND len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM grams),
+windows AS (
+  SELECT id AS doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+         unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS g
+  FROM tokens, lengths WHERE kind = 'd' AND len(w) >= n),
+hits AS (SELECT doc_id, p, n, item_id FROM windows JOIN grams USING (n, g)),
+covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS word FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT t.id AS doc_id, len(t.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM tokens t LEFT JOIN covered c ON t.id = c.doc_id LEFT JOIN items i ON t.id = i.doc_id WHERE t.kind = 'd'
+"""
