@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, minhash, mixing, quality_rules, url_rules
+from textmill.llm import decontaminate, minhash, mixing, pii, quality_rules, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,18 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counted = [
+        F.size(F.filter("base", lambda s, k=kind: F.startswith(s, F.lit(f"{k}:")))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counted,
+        F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"),
+    )
