@@ -22,7 +22,8 @@ placed AS (SELECT doc_id, unnest(t) AS t, unnest(range(1, len(t) + 1)) AS p FROM
 repeated AS (SELECT doc_id, p FROM placed QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
 covered AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
 identity AS (
-  SELECT doc_id, coalesce(list_min([md5(x) FOR x IN t]), md5(array_to_string(w, ' '))) AS identity
+  SELECT doc_id, coalesce(list_min([md5(x) FOR x IN t IF length(split_part(x, ' ', 1)) >= {q.LONG_WORD}]),
+                          list_min([md5(x) FOR x IN t]), md5(array_to_string(w, ' '))) AS identity
   FROM windows),
 lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM docs),

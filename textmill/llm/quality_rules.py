@@ -3,7 +3,8 @@
 Normalised lines (lower case, blanks collapsed) are hashed and the distinct documents that hold them are counted per
 host. A line above the limits is boilerplate there: it is removed from every document but the host's first (smallest
 id) that has it, and a document with too little left is rejected. Documents that share their smallest three-word window
-(by md5) count as one, so a group of copies doesn't make its own lines boilerplate.
+(by md5, among windows that begin with a long word if there are any) count as one, so a group of copies doesn't make its
+own lines boilerplate.
 
 Everything is column expressions. One pass over the texts writes counts and line hashes to the shared folder; the two
 shuffles after it move hashes. Hot lines are combined in the map tasks before counting and dealt to several tasks when
@@ -27,6 +28,7 @@ MAX_LINE_DOCS = 20
 MAX_LINE_PER_MILLE = 5
 MIN_LEFT_WORDS = 50
 MIN_LEFT_PERCENT = 30
+LONG_WORD = 10
 _SALTS = 16
 
 
@@ -36,6 +38,20 @@ def _window_places(tokens: Column, size: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
+def _three(tokens: Column, i: Column) -> list[Column]:
+    return [F.get(tokens, i + k) for k in range(3)]
+
+
+def _identity(tokens: Column) -> Column:
+    """The window that stands for a content; hashing those behind long words alone saves most of the work."""
+    places = _window_places(tokens, 3)
+    smallest = lambda some: F.array_min(
+        F.transform(some, lambda i: F.md5(F.concat_ws(" ", *_three(tokens, i))))
+    )
+    behind_long = F.filter(places, lambda i: F.length(F.get(tokens, i)) >= LONG_WORD)
+    return F.coalesce(smallest(behind_long), smallest(places), F.md5(F.concat_ws(" ", tokens)))
+
+
 def _n_repeat_words(windows: Column) -> Column:
     """Words inside three-word windows that the text has twice or more.
 
@@ -60,7 +76,6 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
     normal = lambda line: F.lower(F.trim(F.regexp_replace(line, BLANKS, " ")))
     picked = pick(docs, id=id_col, text=text_col, host=host_col).withColumn("text", F.coalesce("text", F.lit("")))
     tokens, lines = F.col("tokens"), F.col("lines")
-    three = lambda i: [F.get(tokens, i + k) for k in range(3)]
     cut = picked.select(
         "id",
         "host",
@@ -78,13 +93,10 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
         F.filter(lines, lambda line: ~blank(line)).alias("worded"),
         F.array_sort(
             F.transform(
-                _window_places(tokens, 3), lambda i: F.struct(F.xxhash64(*three(i)).alias("h"), i.alias("p"))
+                _window_places(tokens, 3), lambda i: F.struct(F.xxhash64(*_three(tokens, i)).alias("h"), i.alias("p"))
             )
         ).alias("windows"),
-        F.coalesce(
-            F.array_min(F.transform(_window_places(tokens, 3), lambda i: F.md5(F.concat_ws(" ", *three(i))))),
-            F.md5(F.concat_ws(" ", tokens)),
-        ).alias("identity"),
+        _identity(tokens).alias("identity"),
         F.transform(
             lines,
             lambda line: F.struct(F.xxhash64(normal(line)).alias("h"), F.size(words(line)).alias("n")),
