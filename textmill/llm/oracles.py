@@ -160,3 +160,46 @@ SELECT t.id AS doc_id, len(t.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT A
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM tokens t LEFT JOIN covered c ON t.id = c.doc_id LEFT JOIN items i ON t.id = i.doc_id WHERE t.kind = 'd'
 """
+
+ORACLES["op6_chat_formatting"] = r"""
+WITH m AS (
+  SELECT conv_id, turn, role, text, length(text) AS n,
+         CASE WHEN role = 'assistant' THEN 'call' WHEN role = 'user' AND turn > 0 THEN 'result' ELSE 'message' END AS kind
+  FROM conversations),
+tagged AS (
+  SELECT *, CASE kind WHEN 'call' THEN 'c' || conv_id || '-' || turn WHEN 'result' THEN 'c' || conv_id || '-' || (turn - 1) END AS call_id,
+         CASE WHEN kind = 'call' THEN (['compute', 'lookup', 'search'])[n % 3 + 1] END AS name,
+         CASE WHEN kind = 'call' AND turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS needed
+  FROM m),
+known AS (SELECT conv_id, kind, call_id, min(turn) AS first_turn FROM tagged WHERE call_id IS NOT NULL GROUP BY ALL),
+joined AS (
+  SELECT t.*, k.first_turn, c.first_turn AS c_turn, r.first_turn AS r_turn, d.first_turn AS d_turn
+  FROM tagged t
+  LEFT JOIN known k ON t.conv_id = k.conv_id AND t.kind = k.kind AND t.call_id = k.call_id
+  LEFT JOIN known c ON t.conv_id = c.conv_id AND c.kind = 'call' AND t.call_id = c.call_id
+  LEFT JOIN known r ON t.conv_id = r.conv_id AND r.kind = 'result' AND t.call_id = r.call_id
+  LEFT JOIN known d ON t.conv_id = d.conv_id AND d.kind = 'call' AND t.needed = d.call_id),
+written AS (
+  SELECT conv_id, turn, kind, call_id,
+    CASE WHEN kind = 'message' THEN 'plain' WHEN turn <> first_turn THEN 'repeated'
+         WHEN kind = 'call' AND r_turn IS NOT NULL THEN 'answered' WHEN kind = 'call' THEN 'unanswered'
+         WHEN c_turn IS NOT NULL THEN 'linked' ELSE 'orphan' END AS status,
+    CASE WHEN kind = 'call' THEN concat_ws('; ',
+      CASE WHEN name = 'search' AND needed IS NULL THEN 'after: missing' END,
+      CASE WHEN n % 5 = 0 THEN 'limit: not integer' END,
+      CASE WHEN name = 'compute' AND needed IS NOT NULL THEN 'after: unknown' END,
+      CASE WHEN needed IS NOT NULL AND d_turn IS NULL THEN 'no call ' || needed END) ELSE '' END AS errors,
+    CASE WHEN kind = 'call' THEN
+      '{"arguments":{' || CASE WHEN needed IS NOT NULL THEN '"after":"$' || needed || '",' ELSE '' END ||
+      '"limit":' || CASE WHEN n % 5 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END || ',"query":' ||
+      to_json(substr(text, 1, 60))::VARCHAR || '},"call_id":"' || call_id || '","kind":"call","name":"' || name ||
+      '","role":' || to_json(role)::VARCHAR || '}'
+    ELSE '{' || CASE WHEN call_id IS NOT NULL THEN '"call_id":"' || call_id || '",' ELSE '' END ||
+      CASE WHEN text IS NOT NULL THEN '"content":' || to_json(text)::VARCHAR || ',' ELSE '' END ||
+      '"kind":"' || kind || '","role":' || to_json(role)::VARCHAR || '}' END AS json
+  FROM joined)
+SELECT conv_id, turn, kind, call_id, status, errors, json,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn,
+         CASE kind WHEN 'call' THEN 1 WHEN 'result' THEN 2 ELSE 0 END, call_id, json) AS position
+FROM written
+"""

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, minhash, mixing, pii, quality_rules, url_rules
+from textmill.llm import (
+    decontaminate,
+    lm_scoring,
+    minhash,
+    mixing,
+    pii,
+    quality_rules,
+    suffix_dedup,
+    tool_calls,
+    url_rules,
+    weak_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +91,28 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
         F.array_join("spans", ",").alias("spans"),
     )
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = tool_calls.from_conversations(table(spark, sf_dir, "conversations"))
+    formatted = tool_calls.format_chat(messages)
+    return formatted.withColumn("errors", F.array_join("errors", "; "))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = weak_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("kept", F.col("label") == "clean").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.find(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
