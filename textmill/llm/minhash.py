@@ -3,16 +3,15 @@
 1. One pass over the texts hashes the distinct three-word shingles of each document and keeps its set size, a
    128-bit hash of the set, 32 band keys of six minima each, and the two low bits of all 192 minima in two bit planes.
    Documents with equal sets form a class, which its smallest id represents from here on.
-2. Band keys with several classes are candidate buckets. Every class of a bucket is first paired with the bucket's
-   smallest id, so a bucket of n gives n - 1 pairs. Pairs whose sizes or bit counts rule out the similarity go: equal
-   bits agree by chance with probability 1/4, for which the estimate is corrected, and it may miss by six standard
-   deviations. The others are confirmed on their full sets, and the links give components.
-3. Buckets that still hold several components get the pairs between components, in blocks of bounded size, by the
-   same test; so every pair that shares a bucket is either connected or was tested. Buckets in one component, however
-   large, cost nothing here.
+2. Band keys with several classes are candidate buckets. Every class of a bucket is paired with the bucket's smallest
+   id, so a bucket of n gives n - 1 pairs. Equal bits agree by chance with probability 1/4, for which the estimated
+   similarity is corrected; pairs that are nowhere near similar go, the others join their classes to clusters.
+3. Within a cluster every pair is tested on its full shingle sets. The texts of a cluster meet in blocks of bounded size
+   (each pair of blocks of a large cluster is a group of its own), shared shingles are counted as a product of 0-1
+   matrices, and a group returns a spanning forest of its links, fewer rows than it has members. Links give components.
 
-A link at the threshold shares no bucket with probability (1 - 0.85^6)^32 < 3e-7. Tables between steps are written to
-the shared folder; only ids, keys and bits are shuffled for all documents, texts for confirmed candidates alone.
+A pair at the threshold shares no bucket with probability (1 - 0.85^6)^32 < 3e-7. Tables between steps are written to
+the shared folder; only ids, keys and bits are shuffled for all documents, texts for members of clusters alone.
 
 Edge cases: a text with one or two words is one shingle; a null or blank text has none and is linked with nothing;
 a null id gets a null component and is kept; rows that share an id are one document; other columns are ignored; an empty
@@ -38,7 +37,9 @@ PERCENT = 85
 BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 LOW_BITS = 2
-BLOCK = 512  # classes of a bucket that one join key holds at most, on average
+NEAR = 0.5  # estimated similarity that joins two classes of a bucket to a cluster
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1_000, 1_000_000  # of a block, on average at most
+BROADCAST_ROWS = 1_000_000
 SKETCH = "id long, size int, key1 long, key2 long, planes array<long>, bands array<long>"
 
 _FACTORS = (at.numbers(HASHES, 101) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -145,46 +146,101 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal - chance) / (1.0 - chance)
 
 
-def _lowest_estimate(percent: int) -> float:
-    chance = 2.0**-LOW_BITS
-    similar = percent / 100
-    equal = similar + (1 - similar) * chance
-    return similar - 6 * (equal * (1 - equal) / HASHES) ** 0.5 / (1 - chance)
-
-
-def possible(a: str, b: str, percent: int) -> Column:
-    """Neither the sizes nor the estimate rule the pair out."""
-    small, large = F.least(f"{a}.size", f"{b}.size"), F.greatest(f"{a}.size", f"{b}.size")
-    return (small * 100 >= large * percent) & (
-        estimate(F.col(f"{a}.planes"), F.col(f"{b}.planes")) >= _lowest_estimate(percent)
+def common_counts(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of shingles that each two rows share."""
+    n = len(offsets) - 1
+    row = np.repeat(np.arange(n), np.diff(offsets))
+    _, column, times = np.unique(sets, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common, width = np.zeros((n, n), np.float32), 2048
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [low, low + width]))
+        block = np.zeros((n, width), np.float32)
+        block[row[part], column[part] - low] = 1
+        common += block @ block.T
+    return common
+
+
+def forest(ids: np.ndarray, texts: pa.Array, percent: int) -> list[tuple[int, int]]:
+    """Links between some rows, enough to connect all that similar rows connect."""
+    sets, offsets = shingle_sets(texts)
+    sizes = np.diff(offsets)
+    common = common_counts(sets, offsets)
+    similar = (common > 0) & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common))
+    links, seen = [], np.zeros(len(ids), bool)
+    for start in range(len(ids)):
+        queue = [] if seen[start] else [start]
+        seen[start] = True
+        while queue:
+            k = queue.pop()
+            fresh = np.flatnonzero(similar[k] & ~seen)
+            seen[fresh] = True
+            queue += fresh.tolist()
+            links += [(int(ids[k]), int(ids[j])) for j in fresh]
+    return links
+
+
+def _link_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of each group; the rows of a group (cluster, i, j) follow each other, maybe over several batches."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    open_key: tuple | None = None
+    parts: list[pa.RecordBatch] = []
+
+    def close() -> pa.RecordBatch:
+        group = pa.Table.from_batches(parts).combine_chunks()
+        links = forest(group["id"].to_numpy(), group["text"].combine_chunks(), percent)
+        return pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links], schema=schema)
+
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cluster", "i", "j")], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+            if low == high:
+                continue
+            key = tuple(keys[low].tolist())
+            if key != open_key and parts:
+                yield close()
+                parts.clear()
+            open_key = key
+            parts.append(batch.slice(low, high - low))
+    if parts:
+        yield close()
+
+
+def links_in_clusters(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is similar within each cluster; ``clusters`` has the columns node, component."""
+    sized = clusters.join(nodes.select(F.col("id").alias("node"), "size"), "node")
+    blocks = sized.groupBy("component").agg(
+        F.greatest(
+            F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS)
+        ).cast("int").alias("blocks")
+    )
+    placed = clusters.join(blocks, "component").select(
+        F.col("node").alias("id"),
+        F.col("component").alias("cluster"),
+        F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+        "blocks",
     )
+    placed = stage_table(placed, "clusters")
+    if placed.count() <= BROADCAST_ROWS:  # 24 bytes each; beyond that the texts are shuffled to them
+        placed = F.broadcast(placed)
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = texts.join(placed, "id").select("cluster", "block", others, "id", "text")
+    rows = rows.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "text")
+    grouped = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return stage_table(grouped.mapInArrow(lambda b: _link_batches(b, percent), "a long, b long"), "links")
 
 
-def _confirm(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in at.slices(batches, "text_a"):
-        if not batch.num_rows:
-            continue
-        left, left_at = shingle_sets(batch.column("text_a"))
-        encoded = batch.column("text_b").dictionary_encode()  # a text that many rows share is hashed once
-        right, right_at = shingle_sets(encoded.dictionary)
-        rows = []
-        for i, k in enumerate(encoded.indices.to_numpy(zero_copy_only=False)):
-            x, y = left[left_at[i] : left_at[i + 1]], right[right_at[k] : right_at[k + 1]]
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if common and 100 * common >= percent * (len(x) + len(y) - common):
-                rows.append(i)
-        yield batch.select(["a", "b"]).take(pa.array(rows, pa.int64()))
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose full shingle sets are similar enough."""
-    used = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stage_table(texts.join(used, "id", "left_semi"), "pair-texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-    both = both.select("a", "b", "text_a", "text_b")
-    return stage_table(both.mapInArrow(lambda batches: _confirm(batches, percent), "a long, b long"), "confirmed")
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without those of a group but its smallest id; one row is kept of those that share an id."""
+    found = near_duplicates(docs, id_col, text_col, percent).filter(F.col("id") == F.col("component"))
+    first = found.select(F.col("id").alias("_first")).distinct()
+    named = F.col(f"`{id_col}`")
+    kept = docs.join(first, named == F.col("_first")).dropDuplicates(["_first"]).select(*docs.columns)
+    return kept.unionByName(docs.filter(named.isNull()))
 
 
 def near_duplicates(
@@ -202,23 +258,20 @@ def near_duplicates(
 
     rows = nodes.select("id", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead <> last")
-    members = stage_table(rows.join(buckets.select("key", "lead"), "key"), "buckets")
-    bits = nodes.select("id", F.struct("id", "size", "planes").alias("node"))
-    first = (
-        members.filter("id <> lead")
+    bits = nodes.select("id", "planes")
+    near = (
+        rows.join(buckets.select("key", "lead"), "key")
+        .filter("id <> lead")
         .select(F.col("id").alias("a"), F.col("lead").alias("b"))
         .distinct()
-        .join(bits.select(F.col("id").alias("a"), F.col("node").alias("node_a")), "a")
-        .join(bits.select(F.col("id").alias("b"), F.col("node").alias("node_b")), "b")
-        .filter(possible("node_a", "node_b", percent))
+        .join(bits.select(F.col("id").alias("a"), F.col("planes").alias("planes_a")), "a")
+        .join(bits.select(F.col("id").alias("b"), F.col("planes").alias("planes_b")), "b")
+        .filter(estimate(F.col("planes_a"), F.col("planes_b")) >= NEAR)
         .select("a", "b")
     )
-    texts = texts.filter(F.col("id").isNotNull())
-    links = confirmed(stage_table(first, "pairs"), texts, percent)
-    labels = stage_table(connected(links), "components")
-
-    rest = confirmed(_between_components(members, labels, bits, percent), texts, percent)
-    more = stage_table(connected(links.unionByName(rest)), "components")
+    clusters = stage_table(connected(near), "near")
+    links = links_in_clusters(clusters, nodes, texts.filter(F.col("id").isNotNull()), percent)
+    more = stage_table(connected(links), "components")
 
     named = classes.join(more.withColumnRenamed("node", "id"), "id", "left")
     special = named.filter((F.col("members") > 1) | F.col("component").isNotNull()).select(
@@ -229,33 +282,3 @@ def near_duplicates(
         .join(special, keys, "left")
         .select("id", "size", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     )
-
-
-def _between_components(members: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs of classes that share a bucket but not yet a component."""
-    labelled = members.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    labelled = stage_table(labelled.select("key", "id", F.coalesce("component", "id").alias("label")), "labelled")
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-        .filter("low <> high")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    blocked = labelled.join(mixed, "key").join(bits, "id")
-    blocked = stage_table(
-        blocked.select("key", "label", "node", "blocks", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")),
-        "mixed",
-    )
-    last = F.col("blocks") - 1
-    one = blocked.select(
-        "key", "block", F.explode(F.sequence("block", last)).alias("other"), F.col("label").alias("label_a"), F.col("node").alias("node_a")
-    )
-    two = blocked.select(
-        "key", F.explode(F.sequence(F.lit(0), "block")).alias("block"), F.col("block").alias("other"), F.col("label").alias("label_b"), F.col("node").alias("node_b")
-    )
-    apart = (F.col("label_a") != F.col("label_b")) & (
-        (F.col("block") != F.col("other")) | (F.col("node_a.id") < F.col("node_b.id"))
-    )
-    pairs = one.join(two, ["key", "block", "other"]).filter(apart & possible("node_a", "node_b", percent))
-    pairs = pairs.select(F.col("node_a.id").alias("a"), F.col("node_b.id").alias("b"))
-    return stage_table(pairs.distinct(), "pairs")
