@@ -77,11 +77,15 @@ def mix(
     max_copies: int = MAX_COPIES,
     seed: str = SEED,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, size, source_size, target of its source, copies and taken words."""
+    """One row per row of ``docs``: id, key of its source, content (hash of its text), size, source_size, target of its
+    source, copies and taken words."""
     sized = pick(docs, id=id_col, text=text_col, source=source_col).select(
-        "id", source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size")
+        "id",
+        source_key(F.col("source")).alias("key"),
+        F.xxhash64("text").alias("content"),
+        n_words(F.col("text")).alias("size"),
     )
-    ranked = global_rank(sized, [F.desc("size"), F.asc("id")], ["key"], "place")
+    ranked = global_rank(sized, [F.desc("size"), F.asc("id"), F.asc("content")], ["key"], "place")
     sources = ranked.groupBy("key").agg(F.sum("size").alias("source_size"))
     plan = targets(sources, weights, max_copies).select(F.col("key").alias("_key"), "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -90,5 +94,24 @@ def mix(
     return (
         ranked.join(F.broadcast(plan), F.col("key") == F.col("_key"))  # one row per source
         .withColumn("copies", copies)
-        .select("id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select(*sized.columns, "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
+
+
+def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as :func:`mix` takes it, with ``copy`` counting from 1 (in place of
+    a column of that name). Equal rows get their copies together.
+    """
+    taken = mix(docs, id_col, text_col, source_col).groupBy("id", "key", "content").agg(F.sum("copies").alias("_copies"))
+    taken = taken.filter("_copies > 0").select(
+        F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("content").alias("_content"), "_copies"
+    )
+    found = {
+        "_m_id": F.col(f"`{id_col}`"),
+        "_m_key": source_key(F.col(f"`{source_col}`")),
+        "_m_content": F.xxhash64(F.col(f"`{text_col}`")),
+    }
+    once = docs.withColumns(found).dropDuplicates(list(found))
+    same = F.col("_m_id").eqNullSafe(F.col("_id")) & (F.col("_m_key") == F.col("_key"))
+    both = once.join(taken, same & (F.col("_m_content") == F.col("_content")))
+    return both.select(*(c for c in docs.columns if c != "copy"), F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))

@@ -187,3 +187,18 @@ def without_lines(text: Column, removed: Column) -> Column:
     """``text`` without the lines at the given places."""
     kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(removed, i))
     return F.when(removed.isNull(), text).otherwise(F.array_join(kept, "\n"))
+
+
+def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that :func:`rate_documents` keeps, their texts without the removed lines."""
+    rated = rate_documents(docs, id_col, text_col, host_col).filter("kept")
+    rated = rated.select(*(F.col(c).alias(f"_q_{c}") for c in ("id", "host", "content", "removed")))
+    rated = rated.dropDuplicates(["_q_id", "_q_host", "_q_content"])  # repeated rows are rated alike
+    text = F.col(f"`{text_col}`")
+    same = (
+        F.col(f"`{id_col}`").eqNullSafe(F.col("_q_id"))
+        & F.col(f"`{host_col}`").eqNullSafe(F.col("_q_host"))
+        & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_q_content"))
+    )
+    kept = docs.join(rated, same).withColumn(text_col, without_lines(text, F.col("_q_removed")))
+    return kept.select(*docs.columns)
