@@ -55,7 +55,7 @@ def _window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """Hash of the window of ``length`` words at each place; places too near the end repeat the last words."""
     total = np.zeros(len(hashes), np.uint64)
     last = len(hashes) - 1
-    for k, factor in enumerate(at.numbers(length, 211 + length)):
+    for k, factor in enumerate(at.numbers(length, 211 + length)[: len(hashes)]):
         total[: last + 1 - k] += hashes[k:] * factor
     return at.mix64(total)
 
