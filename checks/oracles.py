@@ -95,7 +95,7 @@ def line_cte(docs: str = "docs") -> str:
   WHERE {strip('line')} <> '')"""
 
 
-def chunk_cte(max_bytes: int = 49_000, size: int = 10_000) -> str:
+def chunk_cte(max_bytes: int = 10**12, size: int = 10_000) -> str:
     return f"""pieces AS (
   SELECT doc_id, line_no, CASE WHEN strlen(line) > {max_bytes}
       THEN list_transform(range(0, length(line), {size}), lambda i: substr(line, i + 1, {size}))
@@ -432,10 +432,10 @@ QUALIFY row_number() OVER (PARTITION BY clean ORDER BY {PLACE}) = 1""",
         RANKED, "SELECT split, surface, normalized, round(percentile, 6) AS percentile FROM listed"
     ),
     "vocabulary_absent": query(
-        (*COUNTED, VOCAB),
+        (*RANKED, COLLAPSED),
         """SELECT word, rank, round(percentile, 6) AS percentile FROM vocab
-WHERE word NOT IN (SELECT surface FROM freq WHERE cnt_c > 0)
-  AND word NOT IN (SELECT normalized FROM freq WHERE cnt_c > 0) ORDER BY rank LIMIT 50""",
+WHERE word NOT IN (SELECT surface FROM collapsed WHERE cnt_c > 0)
+  AND word NOT IN (SELECT normalized FROM collapsed WHERE cnt_c > 0) ORDER BY rank LIMIT 50""",
     ),
     "token_frequencies": query(COUNTED, "SELECT * FROM freq"),
     "top_types": query(
@@ -522,7 +522,7 @@ QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('7:' || clean), clean
         RANKED,
         """SELECT surface, cnt_c, round(observed, 6) AS observed, round(listed, 6) AS listed,
   round(observed - listed, 6) AS gap, round(abs(observed - listed), 6) AS abs_gap FROM (
-  SELECT surface, cnt_c, round_even(percentile, 2) AS listed, 100.0::DOUBLE * (1.0::DOUBLE - (row_number() OVER (
+  SELECT surface, cnt_c, printf('%.2f', percentile)::DOUBLE AS listed, 100.0::DOUBLE * (1.0::DOUBLE - (row_number() OVER (
       ORDER BY cnt_c DESC, cnt_b DESC, cnt_a DESC, surface) - 1)::DOUBLE / count(*) OVER ()) AS observed
   FROM listed WHERE split = 'train' AND percentile IS NOT NULL AND cnt_c >= 100 AND surface = normalized)
 ORDER BY abs(observed - listed) DESC, surface LIMIT 20""",
@@ -530,7 +530,7 @@ ORDER BY abs(observed - listed) DESC, surface LIMIT 20""",
     "corpus_files": query(SPLITTED, "SELECT split, clean FROM split_clean"),
     "frequency_files": query(
         RANKED,
-        """SELECT surface, normalized, cnt_a, cnt_b, cnt_c, round_even(percentile, 2) AS percentile, split FROM (
+        """SELECT surface, normalized, cnt_a, cnt_b, cnt_c, printf('%.2f', percentile)::DOUBLE AS percentile, split FROM (
   SELECT *, row_number() OVER (PARTITION BY split
     ORDER BY cnt_c DESC, cnt_b DESC, cnt_a DESC, surface, normalized) AS rank FROM listed) WHERE rank <= 1000""",
     ),
@@ -546,3 +546,26 @@ ORDER BY abs(observed - listed) DESC, surface LIMIT 20""",
         figures("(SELECT count(*) FROM vocab)"),
     ),
 }
+
+ORACLES |= {
+    "source_switch": query(
+        (SOURCES,),
+        """SELECT source, count(*) AS docs, min(md5(text)) AS first_digest FROM sources
+WHERE source <> 'conversations' AND text IS NOT NULL GROUP BY source""",
+    ),
+    "smoke_documents": query(
+        (SOURCES,),
+        """SELECT source, doc_id, md5(text) AS digest FROM sources WHERE source = 'documents' AND text IS NOT NULL
+ORDER BY digest DESC, doc_id LIMIT 50""",
+    ),
+    "vocabulary_file": query(
+        (VOCAB,),
+        f"""SELECT word, row_number() OVER (ORDER BY rank) - 1 AS rank FROM (
+  SELECT {strip('word')} AS word, rank FROM vocab WHERE {strip('word')} <> '')""",
+    ),
+    "outlier_file": ORACLES["percentile_gap_outliers"],
+    "sample_files": ORACLES["sampled_sentences"],
+    "metadata_file": ORACLES["split_metadata"],
+    "train_only_file": query(COMPARED, "SELECT surface || chr(9) || t::BIGINT AS line FROM words WHERE v = 0"),
+    "comparison_from_files": ORACLES["split_similarity"],
+}

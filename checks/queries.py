@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -31,6 +32,7 @@ from textmill.plans.report import compare_splits
 from textmill.sinks import tables
 from textmill.sources.documents import DocumentSource, take_by_hash, union_sources
 from textmill.sources.frequencies import read_frequencies
+from textmill.sources.vocabulary import read_vocabulary
 from textmill.storage import checkpoint_root, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,7 +227,7 @@ def unbalanced_brackets(spark, sf_dir):
 
 
 def _token_counts(spark, sf_dir, mode: str) -> DataFrame:
-    chunks = lines.explode_chunks(documents(spark, sf_dir))
+    chunks = lines.explode_chunks(documents(spark, sf_dir), max_bytes=None)
     units = chunks.select(F.explode(ANALYSER.units(F.col("chunk"), mode)).alias("unit"))
     return with_forms(units.groupBy("unit").agg(F.count(F.lit(1)).alias("cnt")), ANALYSER)
 
@@ -247,7 +249,7 @@ def tokens_mode_c(spark, sf_dir):
 
 @query
 def token_tags(spark, sf_dir):
-    tokens = explode_tokens(lines.explode_chunks(documents(spark, sf_dir)), ANALYSER)
+    tokens = explode_tokens(lines.explode_chunks(documents(spark, sf_dir), max_bytes=None), ANALYSER)
     return tokens.groupBy("word_class", "sub_class", "conjugation").agg(
         F.count(F.lit(1)).alias("tokens"),
         F.countDistinct("surface").alias("surfaces"),
@@ -344,7 +346,8 @@ def percentile_lookup(spark, sf_dir):
 def vocabulary_absent(spark, sf_dir):
     ranked = stage_table(vocabulary(spark, sf_dir), "vocabulary")
     counts = freq.token_frequencies(split_distinct(spark, sf_dir), ANALYSER)
-    absent = vocab.absent_words(ranked, counts)
+    found = freq.collapse_surface(vocab.attach_percentiles(counts, vocab.percentiles(ranked)))
+    absent = vocab.absent_words(ranked, found)
     top = top_n(absent, [F.asc("rank")], compare.REPORT_ROWS)
     return top.select("word", "rank", r6("percentile").alias("percentile"))
 
@@ -507,3 +510,72 @@ def corpus_build(spark, sf_dir):
     corpus = plans.build_sentences(documents(spark, sf_dir), ranked, ANALYSER)
     found = compare_splits(plans.build_frequencies(corpus, ranked, ANALYSER), ranked).figures
     return found.select(*(r6(n).alias(n) if t == "double" else F.col(n) for n, t in found.dtypes))
+
+
+@query
+def source_switch(spark, sf_dir):
+    """One collection switched off."""
+    chosen = [dataclasses.replace(s, enabled=s.name != "conversations") for s in sources(sf_dir)]
+    docs = union_sources(spark, chosen)
+    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.min(F.md5("text")).alias("first_digest"))
+
+
+@query
+def smoke_documents(spark, sf_dir):
+    """A limited run reads the smoke path."""
+    source = DocumentSource("documents", f"{sf_dir}/none", id_cols=("doc_id",), smoke_path=f"{sf_dir}/documents.parquet")
+    docs = plans.load_documents(spark, [source], max_docs=50)
+    return docs.select("source", "doc_id", F.md5("text").alias("digest"))
+
+
+@query
+def vocabulary_file(spark, sf_dir):
+    """A word list written as text, several files of it, and read back."""
+    path = _new_folder(spark)
+    ordered = vocabulary(spark, sf_dir).repartitionByRange(5, "rank").sortWithinPartitions("rank")
+    ordered.select("word").write.text(path)
+    return read_vocabulary(spark, path)
+
+
+@query
+def outlier_file(spark, sf_dir):
+    """Outliers of a frequency table read back from its file, words that begin with # included."""
+    path = _new_folder(spark)
+    tables.write_frequencies(freq.top_types(frequencies(spark, sf_dir)), path)
+    found = read_frequencies(spark, f"{path}/split={TRAIN}", min_fields=6)
+    found = outliers.largest_gaps(outliers.percentile_gaps(found))
+    return found.select("surface", "cnt_c", *(r6(c).alias(c) for c in ("observed", "listed", "gap", "abs_gap")))
+
+
+@query
+def sample_files(spark, sf_dir):
+    path = _new_folder(spark)
+    sample = stats.uniform_sample(split_distinct(spark, sf_dir), ["clean"], seed=7, by=["split"])
+    tables.write_small_text(sample, path, "clean")
+    return spark.read.text(path).select("split", F.col("value").alias("clean"))
+
+
+@query
+def metadata_file(spark, sf_dir):
+    path = _new_folder(spark)
+    found = stage_table(extracted(spark, sf_dir), "extracted")
+    ratio = stats.retention(found).first()["ratio"]
+    sentences = with_split(dedup.distinct_sentences(found))
+    tables.write_metadata(stats.split_metadata(sentences, ratio, {"documents": "documents.parquet"}), path)
+    return spark.read.json(path)
+
+
+@query
+def train_only_file(spark, sf_dir):
+    path = _new_folder(spark)
+    tables.write_counts(compare.only_in(words(spark, sf_dir), TRAIN), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def comparison_from_files(spark, sf_dir):
+    """The comparison's figures from written frequency tables."""
+    path = _new_folder(spark)
+    tables.write_frequencies(freq.top_types(frequencies(spark, sf_dir)), path)
+    found = compare_splits(read_frequencies(spark, path), stage_table(vocabulary(spark, sf_dir), "vocabulary")).figures
+    return found.select(*(r6(n).alias(n) if t == "double" else F.col(n) for n, t in found.dtypes))

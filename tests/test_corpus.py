@@ -6,12 +6,14 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.__main__ import main
 from textmill.operators import dedup, stats
 from textmill.operators.extract import extract_sentences, rate_sentences
 from textmill.operators.tokens import ScriptRunAnalyser
 from textmill.plans import corpus as plans
-from textmill.plans.report import compare_splits, render_report
+from textmill.plans.report import compare_files, compare_splits, render_report
 from textmill.sources.documents import DocumentSource
+from textmill.storage import staged_names
 
 ANALYSER = ScriptRunAnalyser()
 SUBJECTS = ("犬が", "猫が", "鳥は", "東京が", "⭐星が")
@@ -164,3 +166,31 @@ def test_copies_that_make_up_a_third_of_the_rows(spark, words):
     flagged = plans.flag_unknown_words(dedup.distinct_sentences(found), words, ANALYSER, 0).collect()
     known = {"犬が行く。"} | {f"{i}に鳥は走る。" for i in range(200, 209) if i % 3}  # 200 to 208 are listed
     assert len(flagged) == 2_001 and {r.clean for r in flagged if not r.oov} == known
+
+
+def test_build_options_and_comparison_from_files(spark, docs, words, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/web")
+    words.write.parquet(f"{tmp_path}/words.parquet")
+    out = f"{tmp_path}/out"
+    before = staged_names(spark)
+    main(
+        ["build", "--source", f"web={tmp_path}/web", "--vocab", f"{tmp_path}/words.parquet", "--output", out,
+         "--val-ratio", "0.3", "--max-types", "2"]
+    )
+    assert staged_names(spark) == before  # nothing is left behind
+    assert spark.read.text(f"{out}/token_frequencies").groupBy("split").count().filter("count > 2").isEmpty()
+    losses = {(r.step, r.reason): r.n for r in spark.read.json(f"{out}/losses").collect()}
+    assert losses["documents without text", "web"] == 0 and sum(losses.values()) > 0
+    report = "\n".join(r.value for r in spark.read.text(f"{out}/split_report").collect())
+    main(
+        ["build", "--source", f"web={tmp_path}/web", "--vocab", f"{tmp_path}/words.parquet", "--output", f"{out}2",
+         "--val-ratio", "0.3"]
+    )
+    full = "\n".join(r.value for r in spark.read.text(f"{out}2/split_report").collect())
+    assert report == full  # the figures don't depend on what is written
+    main(
+        ["compare", "--frequencies", f"{out}2/token_frequencies", "--vocab", f"{tmp_path}/words.parquet", "--output",
+         f"{out}3"]
+    )
+    assert "\n".join(r.value for r in spark.read.text(f"{out}3/split_report").collect()) == full
+    assert not compare_files(spark, f"{out}2/token_frequencies/split=train", words, f"{out}4")

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 
 from textmill.__main__ import document_sources, parse
 from textmill.sinks import tables
-from textmill.sources.documents import TASKS_PER_CORE, DocumentSource, spread, take_by_hash, union_sources
-from textmill.sources.frequencies import read_frequencies
+from textmill.sources.documents import (
+    TASKS_PER_CORE,
+    DocumentSource,
+    null_documents,
+    read_documents,
+    spread,
+    take_by_hash,
+    union_sources,
+)
+from textmill.sources.frequencies import count_bad_lines, read_frequencies
 from textmill.sources.vocabulary import read_vocabulary, read_vocabulary_table
 from textmill.storage import stage_table
 
@@ -76,13 +84,37 @@ def test_vocabulary_file(spark, tmp_path):
 def test_vocabulary_keeps_file_order_over_many_splits(spark, tmp_path):
     path = tmp_path / "words.txt"
     path.write_text("\n".join(f"w{i}" for i in range(200_000)), encoding="utf-8")
-    ranked = read_vocabulary(spark, str(path), split_bytes=100_000)
-    assert ranked.rdd.getNumPartitions() > 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 1
+        ranked = stage_table(read_vocabulary(spark, str(path)), "ranked")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ranked.filter(F.col("word") != F.concat(F.lit("w"), F.col("rank"))).isEmpty()
     stage_table(ranked, "words").write.parquet(f"{tmp_path}/words.parquet")
     assert read_vocabulary_table(spark, f"{tmp_path}/words.parquet").count() == 200_000
 
 
+def test_vocabulary_of_several_files(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("third\n\nfourth", encoding="utf-8")
+    (tmp_path / "a.txt").write_text("first\nsecond\n", encoding="utf-8")
+    got = [r.word for r in read_vocabulary(spark, str(tmp_path)).orderBy("rank").collect()]
+    assert got == ["first", "second", "third", "fourth"]
+
+
+def test_document_ids_do_not_collide(spark, tmp_path):
+    rows = [("a", None), (None, "a"), ("a:b", "c"), ("a", "b:c"), ("a\\", "b"), ("a", "\\N"), (None, None)]
+    spark.createDataFrame([(*r, "x") for r in rows], "p string, q string, text string").write.parquet(f"{tmp_path}/t")
+    docs = read_documents(spark, DocumentSource("t", f"{tmp_path}/t", id_cols=("p", "q"))).collect()
+    assert len({d.doc_id for d in docs}) == len(rows)
+    with pytest.raises(ValueError):
+        union_sources(spark, [DocumentSource("t", "p"), DocumentSource("t", "q")])
+
+
+def test_null_documents_are_counted(spark, collections):
+    assert {r.source: r.n for r in null_documents(spark, collections).collect()} == {"web": 1, "wiki": 0}
+
+
 FREQUENCIES = [
     ("train", "#犬", "犬", 3, 2, 9, 99.875, 1),
     ("train", 'a"b', "a", 1, 1, 5, None, 2),
@@ -106,6 +138,8 @@ def test_frequency_table_round_trip(spark, tmp_path, frequencies):
     assert [tuple(r) for r in read_frequencies(spark, f"{path}/split=validation").collect()] == [(" ", " ", 1, 1, 1, 0.0)]
     assert spark.read.text(f"{path}_header").count() == 1
     assert read_frequencies(spark, f"{path}/split=train", drop_hash_rows=True).count() == 1
+    both = read_frequencies(spark, path)
+    assert both.columns[0] == "split" and both.count() == 3
 
 
 def test_short_and_broken_frequency_rows(spark, tmp_path):
@@ -115,6 +149,7 @@ def test_short_and_broken_frequency_rows(spark, tmp_path):
     assert [(r.surface, r.percentile) for r in five] == [("a", None), ("b", None), ("e", 5.5)]
     six = read_frequencies(spark, str(path), min_fields=6).orderBy("surface").collect()
     assert [r.surface for r in six] == ["b", "e"]
+    assert count_bad_lines(spark, str(path), drop_hash_rows=True) == 3
 
 
 def test_corpus_text(spark, tmp_path):

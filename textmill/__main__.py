@@ -1,4 +1,4 @@
-"""Command line: ``python -m textmill build|outliers ...`` (or through spark-submit)."""
+"""Command line: ``python -m textmill build|compare|outliers ...`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -12,8 +12,10 @@ from textmill.operators.tokens import PythonAnalyser, ScriptRunAnalyser
 from textmill.plans.corpus import build_corpus
 from textmill.operators.outliers import largest_gaps, percentile_gaps
 from textmill.sources.documents import DocumentSource
-from textmill.sources.frequencies import read_frequencies
+from textmill.plans.report import compare_files
+from textmill.sources.frequencies import count_bad_lines, read_frequencies
 from textmill.sources.vocabulary import read_vocabulary, read_vocabulary_table
+from textmill.storage import staging
 
 
 def flag(value: str) -> bool:
@@ -48,8 +50,17 @@ def parse(argv=None) -> argparse.Namespace:
     build.add_argument("--max-docs", type=int, default=0)
     build.add_argument("--val-ratio", type=float, default=0.1)
     build.add_argument("--output", default="output")
+    build.add_argument("--corpus-files", type=int, help="number of sentence files (default: by size)")
+    build.add_argument("--max-types", type=int, help="rows per split of the written frequency table (default: all)")
+    compare = commands.add_parser("compare", help="compare the splits of written frequency tables")
+    compare.add_argument("--frequencies", required=True, help="folder with split=... folders, as build writes it")
+    compare.add_argument("--vocab", required=True, help="word list (text) or table (.parquet)")
+    compare.add_argument("--vocab-size", type=int, help="lines of the vocabulary (default: counted)")
+    compare.add_argument("--output", default="output")
+    compare.add_argument("--drop-hash-rows", action="store_true", help="skip lines that begin with #")
     outliers = commands.add_parser("outliers", help="list the widest frequency gaps of a frequency table")
     outliers.add_argument("--frequencies", required=True)
+    outliers.add_argument("--drop-hash-rows", action="store_true", help="skip lines that begin with #")
     return parser.parse_args(argv)
 
 
@@ -65,19 +76,27 @@ def main(argv=None) -> None:
     args = parse(argv)
     spark = SparkSession.builder.appName("textmill").getOrCreate()
     if args.command == "outliers":
-        frequencies = read_frequencies(spark, args.frequencies, min_fields=6, drop_hash_rows=True)
-        largest_gaps(percentile_gaps(frequencies)).show(truncate=False)
+        form = {"min_fields": 6, "drop_hash_rows": args.drop_hash_rows}
+        largest_gaps(percentile_gaps(read_frequencies(spark, args.frequencies, **form))).show(truncate=False)
+        print(f"lines skipped: {count_bad_lines(spark, args.frequencies, **form)}")
         return
     read = read_vocabulary_table if args.vocab.endswith(".parquet") else read_vocabulary
-    build_corpus(
-        spark,
-        document_sources(args),
-        read(spark, args.vocab),
-        _analyser(args.analyser),
-        args.output,
-        args.val_ratio,
-        args.max_docs,
-    )
+    vocab = read(spark, args.vocab)
+    if args.command == "compare":
+        compare_files(spark, args.frequencies, vocab, args.output, args.vocab_size, args.drop_hash_rows)
+        return
+    with staging(spark):
+        build_corpus(
+            spark,
+            document_sources(args),
+            vocab,
+            _analyser(args.analyser),
+            args.output,
+            args.val_ratio,
+            args.max_docs,
+            corpus_files=args.corpus_files,
+            max_types=args.max_types,
+        )
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import chars
 from textmill.functions.cleaning import clean_sentence
-from textmill.operators.lines import CHUNK_CHARS, MAX_LINE_BYTES, explode_chunks
+from textmill.operators.lines import CHUNK_CHARS, explode_chunks
 from textmill.operators.segment import split_sentences, structure_fault
 
 MIN_DENSITY = 0.75  # fixed value
@@ -15,16 +15,17 @@ ORDINALS = ("line_no", "chunk_no", "sent_no")
 
 
 def segment_documents(
-    docs: DataFrame, analyser, max_bytes: int = MAX_LINE_BYTES, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame, analyser, max_bytes: int | None = None, chunk_chars: int = CHUNK_CHARS
 ) -> DataFrame:
     """One row per sentence: ``raw``, ``fault`` (first structural rule broken) and ``orig_chars``.
 
     ``orig_chars`` holds the chunk's Japanese characters on its first row and 0 on the others, so its sum over any set
     of whole documents is their count: stripping and splitting only remove whitespace. A chunk the analyser failed on
-    is one row with the fault ``analyser_error``. Blank sentences stay, with an empty ``raw``.
+    is one row with the fault ``analyser_error``. Blank sentences stay, with an empty ``raw``. Lines are cut where they
+    exceed ``max_bytes`` or, without it, the analyser's own ``max_line_bytes``; most have none and read whole lines.
     """
     chunk = F.col("chunk")
-    chunks = explode_chunks(docs, max_bytes, chunk_chars)
+    chunks = explode_chunks(docs, analyser.max_line_bytes if max_bytes is None else max_bytes, chunk_chars)
     chunks = chunks.withColumn("_chunk_chars", chars.japanese_chars(chunk).cast("long"))
     analysed = (
         analyser.annotate(chunks, "chunk")

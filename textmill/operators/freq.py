@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from textmill.operators.rank import global_rank
 from textmill.operators.tokens import MODES, explode_units, with_forms
 
-MAX_TYPES = 1_000_000  # fixed value: rows kept per split
-
 
 def frequency_order():
     """Total order of a frequency table: counts C, B, A descending, then the forms."""
@@ -24,9 +22,10 @@ def token_frequencies(sentences: DataFrame, analyser, by=("split",), text_col: s
     return counted.select(*by, "surface", "normalized", "cnt_a", "cnt_b", "cnt_c")
 
 
-def top_types(freq: DataFrame, n: int = MAX_TYPES, by=("split",)) -> DataFrame:
-    """The ``n`` most frequent rows per split, with their ``rank``. One shuffle, whatever ``n`` is."""
-    return global_rank(freq, frequency_order(), by).filter(F.col("rank") <= n)
+def top_types(freq: DataFrame, n: int | None = None, by=("split",)) -> DataFrame:
+    """The rows of each split with their ``rank``, or the ``n`` most frequent. One shuffle, whatever ``n`` is."""
+    ranked = global_rank(freq, frequency_order(), by)
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
 def collapse_surface(freq: DataFrame, by=("split",)) -> DataFrame:

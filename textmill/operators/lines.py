@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions.chars import strip
 
-# A line above the byte limit is cut into chunks of so many characters.
+# The input limit of a known morphological analyser; a line above it is cut into chunks of so many
+# characters. Which limit holds, if any, is a property of the analyser in use.
 MAX_LINE_BYTES = 49_000
 CHUNK_CHARS = 10_000
 
@@ -20,8 +21,10 @@ def stripped_lines(text: Column) -> Column:
     return F.filter(numbered, lambda x: x["line"] != "")
 
 
-def line_chunks(line: Column, max_bytes: int = MAX_LINE_BYTES, chunk_chars: int = CHUNK_CHARS) -> Column:
-    """Array of chunks: the line itself, or fixed-size pieces where it is too long in UTF-8 bytes."""
+def line_chunks(line: Column, max_bytes: int | None = MAX_LINE_BYTES, chunk_chars: int = CHUNK_CHARS) -> Column:
+    """Array of chunks: the line itself, or fixed-size pieces where it is too long in UTF-8 bytes (None: never)."""
+    if max_bytes is None:
+        return F.array(line)
     starts = F.sequence(F.lit(1), F.length(line), F.lit(chunk_chars))
     pieces = F.transform(starts, lambda i: F.substring(line, i, F.lit(chunk_chars)))
     return F.when(F.octet_length(line) > max_bytes, pieces).otherwise(F.array(line))
@@ -33,7 +36,7 @@ def explode_lines(docs: DataFrame) -> DataFrame:
 
 
 def explode_chunks(
-    docs: DataFrame, max_bytes: int = MAX_LINE_BYTES, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame, max_bytes: int | None = MAX_LINE_BYTES, chunk_chars: int = CHUNK_CHARS
 ) -> DataFrame:
     chunks = line_chunks(F.col("line"), max_bytes, chunk_chars)
     return explode_lines(docs).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.rounding import two_decimals
 from textmill.operators.freq import frequency_order
 from textmill.operators.rank import global_rank, top_n
 
@@ -23,7 +24,7 @@ def percentile_gaps(freq: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Observed percentile of each eligible word, its listed one (two decimals) and the gap between them."""
     ranked = global_rank(eligible(freq, min_count).drop("rank"), frequency_order(), out="_rank")
     total = F.lit(float(max(ranked.count(), 1)))
-    listed = F.bround("percentile", 2)
+    listed = two_decimals(F.col("percentile"))
     observed = 100.0 * (1.0 - (F.col("_rank") - 1) / total)
     return ranked.select(
         "surface",

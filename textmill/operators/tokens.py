@@ -97,6 +97,8 @@ class ScriptRunAnalyser:
     cuts kanji and digits into single characters.
     """
 
+    max_line_bytes = None
+
     # The middle dot lies in the katakana block but separates words.
     KATAKANA_RUN = r"[\x{30A0}-\x{30FA}\x{30FC}-\x{30FF}]+"
     PATTERNS = {
@@ -207,11 +209,15 @@ class PythonAnalyser:
 
     ``factory`` runs once per task and returns ``analyse(text, mode)``, which yields (surface, normalized, word class,
     sub-class, conjugation form) per token. :meth:`annotate` gives null arrays for a text on which it raises, and the
-    extraction rejects that text; elsewhere the error fails the job.
+    extraction rejects that text; elsewhere the error fails the job. ``max_line_bytes`` is the longest text the analyser
+    takes, in UTF-8 bytes; longer lines reach it in pieces.
     """
 
-    def __init__(self, factory: Callable[[], Callable[[str, str], Iterable[tuple]]]):
+    def __init__(
+        self, factory: Callable[[], Callable[[str, str], Iterable[tuple]]], max_line_bytes: int | None = None
+    ):
         self.factory = factory
+        self.max_line_bytes = max_line_bytes
 
     def units(self, text: Column, mode: str = "C", flat: bool = False) -> Column:
         """Array of (surface, normalized); with ``flat``, line breaks inside them are spaces."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.rounding import two_decimal_text
 from textmill.sources.frequencies import UNKNOWN
 
 FREQUENCY_HEADER = ("surface", "normalized", "count_A", "count_B", "count_C", "percentile")
@@ -13,17 +14,16 @@ FREQUENCY_HEADER = ("surface", "normalized", "count_A", "count_B", "count_C", "p
 def write_corpus(sentences: DataFrame, path: str, files: int | None = None) -> None:
     """gzip text, one sentence per line, under ``split=...``.
 
-    Duplicate removal has hashed the sentences across the partitions already, so rows are redistributed only if a
-    number of files is asked for.
+    Rows are redistributed first, so files are of one size and none holds a run of like sentences: over ``files``
+    tasks, or as many as adaptive execution finds right.
     """
     rows = sentences.select("split", "clean")
-    if files:
-        rows = rows.repartition(files)
+    rows = rows.repartition(files) if files else rows.hint("rebalance")
     rows.write.partitionBy("split").text(path, compression="gzip")
 
 
 def percentile_text(percentile: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", F.bround(percentile, 2)), F.lit(UNKNOWN))
+    return F.coalesce(two_decimal_text(percentile), F.lit(UNKNOWN))
 
 
 def frequency_line() -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.operators.rank import MAX_MERGED_ROWS, top_n
@@ -28,26 +28,44 @@ class DocumentSource:
     smoke_path: str | None = None
     enabled: bool = True
 
+    def path_read(self, smoke: bool = False) -> str:
+        return self.smoke_path if smoke and self.smoke_path else self.path
+
 
 def read_documents(spark: SparkSession, source: DocumentSource, smoke: bool = False) -> DataFrame:
     """Scan one collection: only the text and the identity columns are read."""
-    path = source.smoke_path if smoke and source.smoke_path else source.path
     ids = [F.col(c).cast("string") for c in source.id_cols] or [
         F.col("_metadata.file_path"),
         F.col("_metadata.row_index").cast("string"),
     ]
-    return spark.read.parquet(path).select(
+    return spark.read.parquet(source.path_read(smoke)).select(
         F.lit(source.name).alias("source"),
-        F.concat_ws(":", *ids).alias("doc_id"),
+        document_id(ids).alias("doc_id"),
         F.col(source.text_col).alias("text"),
     )
 
 
+def document_id(ids: Sequence[Column]) -> Column:
+    """Parts joined by colons, none lost: inside a part of several, colons and backslashes are escaped, and a null is
+    ``\\N``."""
+    if len(ids) > 1:
+        ids = [F.replace(F.replace(i, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for i in ids]
+    return F.concat_ws(":", *(F.coalesce(i, F.lit("\\N")) for i in ids))
+
+
+def null_documents(spark: SparkSession, sources: Sequence[DocumentSource], smoke: bool = False) -> DataFrame:
+    """(source, n): the documents without text that :func:`union_sources` leaves out."""
+    docs = reduce(DataFrame.unionByName, (read_documents(spark, s, smoke) for s in sources if s.enabled))
+    return docs.groupBy("source").agg(F.count_if(F.col("text").isNull()).alias("n"))
+
+
 def union_sources(spark: SparkSession, sources: Sequence[DocumentSource], smoke: bool = False) -> DataFrame:
     """All enabled collections; documents without text are left out."""
     enabled = [s for s in sources if s.enabled]
     if not enabled:
         raise ValueError("no document source is enabled")
+    if len({s.name for s in enabled}) < len(enabled):
+        raise ValueError("two document sources have one name")
     docs = reduce(DataFrame.unionByName, (read_documents(spark, s, smoke) for s in enabled))
     return docs.filter(F.col("text").isNotNull())
 

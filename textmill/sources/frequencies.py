@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNKNOWN = "x"
@@ -13,17 +13,15 @@ def read_frequencies(
 ) -> DataFrame:
     """surface, normalized, counts A, B, C and an optional percentile (``x`` or absent: null).
 
-    Lines with fewer fields or without a numeric mode-C count are skipped. ``drop_hash_rows`` also skips lines that begin
-    with ``#``, for files that carry their header inside; a word may begin with ``#`` as well, so it is off by default.
+    Lines with fewer fields or without a numeric mode-C count are skipped (:func:`count_bad_lines` counts them).
+    ``drop_hash_rows`` also skips lines that begin with ``#``, for files that carry their header inside; a word may begin
+    with ``#`` as well, so it is off by default. A folder with both splits gives their ``split`` as a column, too.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
-    if drop_hash_rows:
-        lines = lines.filter(~F.startswith("value", F.lit("#")))
-    fields = F.split("value", "\t")
+    lines = _lines(spark, path, drop_hash_rows)
     return (
-        lines.select(fields.alias("f"))
-        .filter(F.size("f") >= min_fields)
+        lines.filter(_good(min_fields))
         .select(
+            *(c for c in lines.columns if c == "split"),
             F.get("f", F.lit(0)).alias("surface"),
             F.get("f", F.lit(1)).alias("normalized"),
             F.get("f", F.lit(2)).try_cast("long").alias("cnt_a"),
@@ -31,5 +29,20 @@ def read_frequencies(
             F.get("f", F.lit(4)).try_cast("long").alias("cnt_c"),
             F.get("f", F.lit(5)).try_cast("double").alias("percentile"),
         )
-        .filter(F.col("cnt_c").isNotNull())
     )
+
+
+def count_bad_lines(spark: SparkSession, path: str, min_fields: int = 5, drop_hash_rows: bool = False) -> int:
+    """How many lines :func:`read_frequencies` skips for their form."""
+    return _lines(spark, path, drop_hash_rows).filter(~_good(min_fields)).count()
+
+
+def _lines(spark: SparkSession, path: str, drop_hash_rows: bool) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    if drop_hash_rows:
+        lines = lines.filter(~F.startswith("value", F.lit("#")))
+    return lines.withColumn("f", F.split("value", "\t"))
+
+
+def _good(min_fields: int) -> Column:
+    return (F.size("f") >= min_fields) & F.get("f", F.lit(4)).try_cast("long").isNotNull()
