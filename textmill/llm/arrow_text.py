@@ -1,6 +1,6 @@
 """Words of Arrow string columns as numpy arrays, inside tasks.
 
-A batch is cut into slices of a few megabytes of text, so temporary arrays don't grow with the batch. Words are runs of
+A batch is cut into slices of half a megabyte of text, so temporary arrays don't grow with the batch. Words are runs of
 the bytes that a table marks; both tables used here treat every byte of a character outside ASCII alike.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
