@@ -62,6 +62,28 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, group: Sequence[str] =
     return _first(merged, order, n, group) if group else merged.orderBy(*order).limit(n)
 
 
+def near_digest_end(df: DataFrame, n: int, group: Sequence[str] = (), largest: bool = False) -> DataFrame:
+    """The rows whose hex ``_digest`` lies in the first (or last) part of the range that holds ``n`` rows per group.
+
+    Digests are uniform, so counts of their first four digits say how far that part reaches; one pass counts, and the
+    rows kept are few more than asked for. ``df`` is read twice, and its groups must be as few as splits are.
+    """
+    prefix = F.substring("_digest", 1, 4)
+    counts = df.groupBy(*group, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+    ordered = Window.partitionBy(*group).orderBy(F.desc("_prefix") if largest else F.asc("_prefix"))
+    reached = counts.withColumn("_sum", F.sum("_n").over(ordered)).filter(F.col("_sum") >= n)
+    end = F.max("_prefix") if largest else F.min("_prefix")
+    bounds = reached.groupBy(*group).agg(end.alias("_end")).filter(F.col("_end").isNotNull()).collect()
+    keep, bounded = F.lit(False), F.lit(False)
+    for row in bounds:
+        mine = F.lit(True)
+        for name in group:
+            mine &= F.col(name).eqNullSafe(F.lit(row[name]))
+        keep |= mine & (prefix >= row["_end"] if largest else prefix <= row["_end"])
+        bounded |= mine
+    return df.filter(keep | ~bounded)
+
+
 def _first(df: DataFrame, order: Sequence[Column], n: int, group: Sequence[str]) -> DataFrame:
     numbered = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered.filter(F.col("_rank") <= n).drop("_rank")

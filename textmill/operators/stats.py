@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.chars import contains_any
 from textmill.operators.extract import ORDINALS
-from textmill.operators.rank import top_n
+from textmill.operators.rank import near_digest_end, top_n
 from textmill.operators.split import SPLITS
 
 # Fixed values.
@@ -57,10 +57,14 @@ def watched(rejects: DataFrame, words=WATCH_WORDS) -> DataFrame:
 
 
 def uniform_sample(rows: DataFrame, key: list[str], n: int = SAMPLE_SIZE, seed: int = 0, by=()) -> DataFrame:
-    """``n`` rows in the order of a seeded hash of ``key``, which must be unique: uniform and repeatable."""
+    """``n`` rows in the order of a seeded hash of ``key``, which must be unique: uniform and repeatable.
+
+    ``rows`` is read twice, once for counts, and only rows near the bound they give are sorted.
+    """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *key))
     order = [F.asc("_digest"), *(F.asc(c) for c in key)]
-    return top_n(rows.withColumn("_digest", digest), order, n, by).drop("_digest")
+    near = near_digest_end(rows.withColumn("_digest", digest), n, by)
+    return top_n(near, order, n, by).drop("_digest")
 
 
 def sample_per_split(rejects: DataFrame, n: int, seed: int = 0) -> DataFrame:
@@ -70,8 +74,8 @@ def sample_per_split(rejects: DataFrame, n: int, seed: int = 0) -> DataFrame:
 
 
 def top_by_text(rows: DataFrame, n: int = SAMPLE_SIZE, text_col: str = "clean") -> DataFrame:
-    """The ``n`` largest texts in code-point order."""
-    return top_n(rows, [F.desc(text_col)], n)
+    """The ``n`` largest texts in code-point order; each task keeps its own ``n`` in a heap."""
+    return rows.orderBy(F.desc(text_col)).limit(n)
 
 
 def split_metadata(sentences: DataFrame, retained: float, sources: dict[str, str]) -> DataFrame:

@@ -204,10 +204,26 @@ ANNOTATION = T.StructType(
 )
 
 
+_IN_WORKER: dict[tuple[str, str], Callable] = {}
+
+
+def worker_analyser(factory: Callable[[], Callable]) -> Callable:
+    """The factory's analyser, made once per worker process if the factory is a function of a module.
+
+    A function made at run time may hold different values under one name, so it is called for each task.
+    """
+    name = (getattr(factory, "__module__", ""), getattr(factory, "__qualname__", "<"))
+    if "<" in name[1] or name[0] == "__main__" or getattr(factory, "__closure__", None):
+        return factory()
+    if name not in _IN_WORKER:
+        _IN_WORKER[name] = factory()
+    return _IN_WORKER[name]
+
+
 class PythonAnalyser:
     """A user's analyser, applied to Arrow batches inside the tasks.
 
-    ``factory`` runs once per task and returns ``analyse(text, mode)``, which yields (surface, normalized, word class,
+    ``factory`` runs once per worker process (:func:`worker_analyser`) and returns ``analyse(text, mode)``, which yields (surface, normalized, word class,
     sub-class, conjugation form) per token. :meth:`annotate` gives null arrays for a text on which it raises, and the
     extraction rejects that text; elsewhere the error fails the job. ``max_line_bytes`` is the longest text the analyser
     takes, in UTF-8 bytes; longer lines reach it in pieces.
@@ -227,6 +243,18 @@ class PythonAnalyser:
         )
         return forms(text)
 
+    def units_by_mode(self, text: Column, modes=MODES) -> Column:
+        """Array of (mode, units) with line breaks flattened, from one call per text and mode in one pass."""
+        returns = T.ArrayType(T.StructType([T.StructField("mode", T.StringType()), T.StructField("units", FORM)]))
+
+        def collect(analyse, text):
+            forms = lambda mode: [
+                {"surface": t[0].translate(FLAT), "normalized": t[1].translate(FLAT)} for t in analyse(text, mode)
+            ]
+            return [{"mode": mode, "units": forms(mode)} for mode in modes]
+
+        return self._per_text(returns, collect)(text)
+
     def surface(self, unit: Column) -> Column:
         return unit["surface"]
 
@@ -256,16 +284,19 @@ class PythonAnalyser:
         )
 
     def _udf(self, returns: T.DataType, mode: str, collect: Callable, null_on_error: bool = False):
+        return self._per_text(returns, lambda analyse, text: collect(analyse(text, mode)), null_on_error)
+
+    def _per_text(self, returns: T.DataType, collect: Callable, null_on_error: bool = False):
         factory = self.factory
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            analyse = factory()
+            analyse = worker_analyser(factory)
 
             def one(text):
                 if text is None:
                     return None
                 try:
-                    return collect(analyse(text, mode))
+                    return collect(analyse, text)
                 except Exception:
                     if not null_on_error:
                         raise
@@ -290,10 +321,12 @@ def explode_units(texts: DataFrame, analyser, modes=MODES, text_col: str = "clea
     """(mode, unit) of every token in every mode, line breaks flattened; one pass over the texts."""
     keep = [c for c in texts.columns if c != text_col]
     text = F.col(text_col)
-    per_mode = [
-        F.struct(F.lit(mode).alias("mode"), analyser.units(text, mode, flat=True).alias("units")) for mode in modes
-    ]
-    return texts.select(*keep, F.inline(F.array(*per_mode))).select(*keep, "mode", F.explode("units").alias("unit"))
+    if isinstance(analyser, PythonAnalyser):
+        per_mode = analyser.units_by_mode(text, modes)
+    else:
+        units = [analyser.units(text, mode, flat=True).alias("units") for mode in modes]
+        per_mode = F.array(*(F.struct(F.lit(mode).alias("mode"), u) for mode, u in zip(modes, units)))
+    return texts.select(*keep, F.inline(per_mode)).select(*keep, "mode", F.explode("units").alias("unit"))
 
 
 def with_forms(units: DataFrame, analyser) -> DataFrame:

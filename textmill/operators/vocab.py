@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.storage import BROADCAST_LIMIT_BYTES, fits_broadcast
 
+HEAD_WORDS = 100_000
+
 
 def percentiles(vocab: DataFrame) -> DataFrame:
     """(word, percentile): ``100 * (1 - rank / lines)``; the last listing of a word counts."""
@@ -23,18 +25,30 @@ def flag_unknown_words(
 ) -> DataFrame:
     """Add ``oov``: does any mode-C token have neither its surface nor its normalized form in the vocabulary?
 
-    ``sentences`` must be distinct on ``clean``. With a vocabulary small enough to broadcast, the sentences found
-    stay in the partitions the duplicate removal left them in, and the join back needs no further shuffle. A larger
-    vocabulary meets the distinct units instead of the tokens, so frequent words are joined once.
+    ``sentences`` must be distinct on ``clean``. With a vocabulary small enough to broadcast, tokens are looked up where
+    the duplicate removal left their sentences and counted back into them in the same partitions: no join back, no
+    further shuffle. For a larger vocabulary the head of the list, which holds nearly all tokens, is broadcast first;
+    what it doesn't know meets the rest of the list as distinct units, and sentences are found by digests, so no text
+    travels with a token.
     """
     words = vocab.select("word").distinct()
-    units = sentences.select("clean", F.explode(F.array_distinct(analyser.units(F.col("clean")))).alias("unit"))
+    each = F.array_distinct(analyser.units(F.col("clean")))
     if fits_broadcast(words, broadcast_limit):
-        unknown = _unknown(units, F.broadcast(words), analyser)
-    else:
-        unknown = units.join(_unknown(units.select("unit").distinct(), words, analyser), "unit", "left_semi")
-    hits = unknown.select("clean").distinct().withColumn("oov", F.lit(True))
-    return sentences.join(hits, "clean", "left").withColumn("oov", F.coalesce("oov", F.lit(False)))
+        units = sentences.select("*", F.explode_outer(each).alias("unit"))
+        listed = units.join(F.broadcast(words.select(F.col("word").alias("_w1"))), analyser.surface(F.col("unit")) == F.col("_w1"), "left")
+        form = F.when(F.col("_w1").isNull(), analyser.normalized(F.col("unit")))
+        listed = listed.join(F.broadcast(words.select(F.col("word").alias("_w2"))), form == F.col("_w2"), "left")
+        unknown = F.col("unit").isNotNull() & F.col("_w1").isNull() & F.col("_w2").isNull()
+        return listed.groupBy(*sentences.columns).agg(F.bool_or(unknown).alias("oov"))
+    digest = F.unhex(F.md5("clean"))
+    units = sentences.select(digest.alias("_digest"), F.explode(each).alias("unit"))
+    head = vocab.filter(F.col("rank") < HEAD_WORDS).select("word").distinct()
+    if fits_broadcast(head):
+        units = _unknown(units, F.broadcast(head), analyser)
+    unknown = units.join(_unknown(units.select("unit").distinct(), words, analyser), "unit", "left_semi")
+    hits = unknown.select("_digest").distinct().withColumn("oov", F.lit(True))
+    found = sentences.withColumn("_digest", digest).join(hits, "_digest", "left")
+    return found.select(*sentences.columns, F.coalesce("oov", F.lit(False)).alias("oov"))
 
 
 def _unknown(units: DataFrame, words: DataFrame, analyser) -> DataFrame:

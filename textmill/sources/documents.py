@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.operators.rank import MAX_MERGED_ROWS, top_n
-from textmill.storage import fits_broadcast
+from textmill.operators.rank import MAX_MERGED_ROWS, near_digest_end, top_n
+from textmill.storage import fits_broadcast, stage_table
 
 
 @dataclass(frozen=True)
@@ -73,10 +73,12 @@ def union_sources(spark: SparkSession, sources: Sequence[DocumentSource], smoke:
 def take_by_hash(docs: DataFrame, n: int) -> DataFrame:
     """The ``n`` documents with the largest md5 of their text; copies are told apart by source and id.
 
-    Only digests and ids are ordered; the texts are picked out by a semi join afterwards.
+    One pass over the texts writes their digests; only those near the end of the range are ordered, and the texts are
+    picked out by a semi join afterwards.
     """
-    ids = docs.select("source", "doc_id", F.md5("text").alias("digest"))
-    chosen = top_n(ids, [F.desc("digest"), F.asc("source"), F.asc("doc_id")], n).drop("digest")
+    ids = stage_table(docs.select("source", "doc_id", F.md5("text").alias("_digest")), "digests")
+    near = near_digest_end(ids, n, largest=True)
+    chosen = top_n(near, [F.desc("_digest"), F.asc("source"), F.asc("doc_id")], n).drop("_digest")
     small = n <= MAX_MERGED_ROWS or fits_broadcast(chosen)
     return docs.join(F.broadcast(chosen) if small else chosen, ["source", "doc_id"], "left_semi")
 
