@@ -64,6 +64,13 @@ def test_whole_table_of_documents(spark):
     assert [got[r.doc_id] for r in rows] == brute([r.text for r in rows])
 
 
+def test_many_text_hashes_are_joined_by_shuffle(frame, monkeypatch):
+    monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
+    texts = fixture()
+    got = {r.id: tuple(r)[1:] for r in s.find(frame(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
+
+
 def test_repeated_rows_and_empty_table(frame):
     text = noise(500)
     got = s.find(frame([(1, text), (1, text), (None, text)])).collect()
@@ -75,6 +82,7 @@ def test_long_prefixes_equal_direct_comparison():
     rng = np.random.default_rng(2)
     for least in (1, 2, 5):
         symbols = np.concatenate([rng.integers(1, 4, 60), np.tile([1, 2, 3, 1], 8), [0]])
+        assert symbols.max() < len(symbols)
         order, long = s.long_prefixes(symbols, least)
         suffixes = [tuple(symbols[i:]) for i in order]
         assert suffixes == sorted(suffixes)

@@ -16,8 +16,8 @@ Every byte covered by a string of ``THRESHOLD`` bytes that also starts anywhere
    to the cells, by hashes over their bytes; what they cover is kept per piece.
 4. Covered pieces go back to the places of their anchors and the bytes are removed.
 
-An anchor with more than ``GROUP_PIECES`` different pieces (a passage in very many texts) has its pieces' windows hashed,
-counted and looked up by shuffles instead, with combining in the map tasks, so no group is gathered in one task.
+An anchor with more than ``GROUP_PIECES`` different pieces (a passage in very many texts) has ranges of its windows
+hashed, counted and split by shuffles instead, with combining in the map tasks, so no group is gathered in one task.
 
 Hashes have 64 bits. Copies of a text share its hash and its result; positions are recomputed from texts rather than
 shuffled with them. Texts are shuffled twice: where pieces differ, and to their cuts.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import arrow_text as at
-from textmill.llm.common import pick, salted
+from textmill.llm.common import pick
 from textmill.storage import stage_table
 
 THRESHOLD = 400
@@ -46,9 +47,10 @@ GRAM = 100
 BEFORE = THRESHOLD - GRAM
 CELL = 8
 MIN_CELLS = (THRESHOLD - CELL + 1) // CELL
-GROUP_PIECES = 1_000
-BLOCK_BYTES = 1 << 20
-_SALTS = 16
+GROUP_PIECES = 5_000  # of an anchor that meet in a task, 700 bytes each
+BLOCK_BYTES = 1 << 19
+RANGES = (64, 8, 1)  # windows of a range, round by round; each divides the one before
+BROADCAST_ROWS = 1_000_000
 _SEGMENT = 1 << 20  # positions whose hashes are looked at together
 FOUND = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -144,15 +146,17 @@ def _piece_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in their order, by prefix doubling."""
+    """Starts of the suffixes in their order, by prefix doubling; symbols are below the number of symbols."""
     n = len(symbols)
     rank, step = symbols.astype(np.int64), 1
     while True:
         after = np.zeros(n, np.int64)
         after[: max(n - step, 0)] = rank[step:] + 1
-        order = np.lexsort((after, rank))
+        key = rank * (n + 2) + after
+        order = np.argsort(key)
+        key = key[order]
         fresh = np.ones(n, bool)
-        fresh[1:] = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
+        fresh[1:] = key[1:] != key[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(fresh) - 1
         if fresh.all():
@@ -182,7 +186,7 @@ def long_prefixes(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
         inside = np.arange(len(interval)) - np.repeat(np.cumsum(width) - width, width) + low[interval]
         # Within an interval, equal symbols map to neighbours; so runs of neighbours with one symbol are the extensions.
         mapped = to_first[inside]
-        by = np.lexsort((mapped, interval))
+        by = np.argsort(interval * n + mapped)
         mapped, interval, symbol = mapped[by], interval[by], transform[inside][by]
         cut = np.ones(len(mapped), bool)
         cut[1:] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
@@ -211,7 +215,9 @@ def covered(pieces: list[bytes], before: list[int], group: list[int]) -> list[np
     place = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts) - cells_before[piece]
     begin = offsets[piece] + left[piece] + CELL * place
     value = data[begin[:, None] + np.arange(CELL)].copy().view(np.uint64).ravel()
-    _, number = np.unique(np.stack([groups[piece].astype(np.uint64), place.astype(np.int64).view(np.uint64), value]), axis=1, return_inverse=True)
+    value = at.mix64(value) + groups[piece].astype(np.uint64) * at.numbers(2, 307)[0]
+    value = at.mix64(value + place.astype(np.int64).view(np.uint64) * at.numbers(2, 307)[1])
+    _, number = np.unique(value, return_inverse=True)
     # Each piece ends with a symbol of its own.
     ends = np.cumsum(counts) + np.arange(len(pieces))
     symbols = np.empty(len(piece) + len(pieces), np.int64)
@@ -230,17 +236,17 @@ def covered(pieces: list[bytes], before: list[int], group: list[int]) -> list[np
     out = [np.zeros(size, bool) for size in sizes]
     if not len(cells):
         return out
-    owner = piece[cells]
-    starts = begin[cells][:, None] - np.arange(CELL)
-    fits = (starts >= offsets[owner][:, None]) & (starts + THRESHOLD <= offsets[owner + 1][:, None])
-    owner, starts = np.repeat(owner, fits.sum(1)), starts[fits]
-    offset = np.broadcast_to(np.arange(CELL), fits.shape)[fits]
-    key = np.stack([np.repeat(run, fits.sum(1)).astype(np.uint64), offset.astype(np.uint64), at.span_hashes(data, starts, starts + THRESHOLD)])
-    _, same, times = np.unique(key, axis=1, return_inverse=True, return_counts=True)
-    repeated = times[same.ravel()] > 1
-    marks = np.zeros(len(data) + 1, np.int64)
-    np.add.at(marks, starts[repeated], 1)
-    np.add.at(marks, starts[repeated] + THRESHOLD, -1)  # windows stay within their piece
+    owner, first = piece[cells], begin[cells]
+    marks = np.zeros(len(data) + 1, np.int32)
+    for offset in range(CELL):
+        starts = first - offset
+        fits = np.flatnonzero((starts >= offsets[owner]) & (starts + THRESHOLD <= offsets[owner + 1]))
+        starts = starts[fits]
+        key = at.mix64(run[fits].astype(np.uint64)) + at.span_hashes(data, starts, starts + THRESHOLD)
+        _, same, times = np.unique(key, return_inverse=True, return_counts=True)
+        starts = starts[times[same] > 1]
+        np.add.at(marks, starts, 1)
+        np.add.at(marks, starts + THRESHOLD, -1)  # windows stay within their piece
     inside = np.cumsum(marks[:-1]) > 0
     return [inside[offsets[k] : offsets[k + 1]] for k in range(len(pieces))]
 
@@ -281,46 +287,102 @@ def _cover_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield close()
 
 
-def _window_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows of each piece, by their place relative to the anchor."""
+def _range_batches(batches: Iterable[pa.RecordBatch], parent: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Parts of ``width`` windows of the open ranges of each piece: what all windows of a part hold, and its whole.
+
+    A window is named by its start, from 0 for 300 bytes before the anchor to 300. ``hull`` is null where the piece
+    doesn't hold all windows of the part.
+    """
     for batch in batches:
-        rows = []
-        for text, left in zip(batch.column("bytes").to_pylist(), batch.column("before").to_pylist()):
-            places = np.arange(max(len(text) - THRESHOLD + 1, 0))
-            hashes = at.span_hashes(np.frombuffer(text, np.uint8), places, places + THRESHOLD)
-            rows.append((hashes ^ at.mix64((places - left + BEFORE).astype(np.uint64))).view(np.int64))
+        owner, lows, cores, hulls, left = [], [], [], [], []
+        texts = batch.column("bytes").to_pylist()
+        for k, (text, before, opened) in enumerate(
+            zip(texts, batch.column("before").to_pylist(), batch.column("lows").to_pylist())
+        ):
+            low = np.array([x for start in opened for x in range(start, min(start + parent, BEFORE + 1), width)])
+            end = np.array([start + parent for start in opened for _ in range(start, min(start + parent, BEFORE + 1), width)])
+            high = np.minimum(np.minimum(low + width, end), BEFORE + 1) - 1
+            shift = before - BEFORE  # from window numbers to bytes of the piece
+            some = (np.maximum(low + shift, 0) <= np.minimum(high + shift, len(text) - THRESHOLD))
+            low, high = low[some], high[some]
+            data = np.frombuffer(text, np.uint8)
+            core = at.span_hashes(data, high + shift, low + shift + THRESHOLD)
+            all_in = (low + shift >= 0) & (high + shift + THRESHOLD <= len(text))
+            a, b = np.where(all_in, low + shift, 0), np.where(all_in, high + shift + THRESHOLD, 0)
+            hull = at.span_hashes(data, a, b).view(np.int64).tolist()
+            owner += [k] * len(low)
+            lows += low.tolist()
+            cores += core.view(np.int64).tolist()
+            hulls += [h if whole else None for h, whole in zip(hull, all_in.tolist())]
+            left += [(int(x) + shift, int(y) + shift + THRESHOLD) for x, y in zip(low, high)]
+        take = pa.array(owner, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("anchor"), batch.column("piece"), pa.array(rows, pa.list_(pa.int64()))],
-            names=["anchor", "piece", "windows"],
+            [
+                batch.column("anchor").take(take),
+                batch.column("piece").take(take),
+                pa.array(lows, pa.int32()),
+                pa.array(cores, pa.int64()),
+                pa.array(hulls, pa.int64()),
+                pa.array([list(x) for x in left], pa.list_(pa.int32())),
+            ],
+            names=["anchor", "piece", "low", "core", "hull", "run"],
         )
 
 
-def _covered_by_counts(pieces: DataFrame) -> DataFrame:
-    """Covered runs of pieces of anchors that have very many: windows are counted by shuffle."""
-    windows = pieces.mapInArrow(_window_batches, "anchor long, piece long, windows array<long>")
-    windows = stage_table(windows, "windows")
-    each = windows.select("anchor", "piece", F.posexplode("windows").alias("at", "h"))
-    twice = each.groupBy("anchor", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    found = salted(each, twice, ["anchor", "h"], _SALTS, F.col("piece"))
-    runs = F.flatten(F.transform(F.array_sort(F.collect_set("at")), lambda p: F.array(p, p + THRESHOLD)))
-    return found.groupBy("anchor", "piece").agg(runs.alias("runs"))
+def _covered_by_ranges(pieces: DataFrame) -> DataFrame:
+    """Covered runs of pieces of anchors that have very many, by counting ever smaller ranges of windows.
+
+    If what all windows of a range share occurs once, none of them is repeated; if the range's whole occurs twice, all
+    are. Other ranges are split, so a piece keeps a few open ranges, where repeated text ends.
+    """
+    pieces = stage_table(pieces, "many-pieces")
+    opened = pieces.select("anchor", "piece", F.array(F.lit(0)).alias("lows"))
+    found, parent = [], BEFORE + 1
+    for width in RANGES:
+        ranges = pieces.join(opened, ["anchor", "piece"]).mapInArrow(
+            lambda batches, p=parent, w=width: _range_batches(batches, p, w),
+            "anchor long, piece long, low int, core long, hull long, run array<int>",
+        )
+        ranges = stage_table(ranges, "ranges")
+        shared = ranges.groupBy("anchor", "low", "core").agg(
+            F.count(F.lit(1)).alias("n"), (F.min("hull") != F.max("hull")).alias("unlike"), F.count("hull").alias("whole")
+        )
+        shared = shared.filter("n > 1").select("anchor", "low", "core", F.expr("unlike or whole < n").alias("mixed"))
+        alive = stage_table(ranges.join(shared, ["anchor", "low", "core"]), "ranges")
+        if width > 1:
+            twice = alive.groupBy("anchor", "low", "hull").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("first"))
+            twice = twice.filter("n > 1 and hull is not null")
+            alive = stage_table(alive.join(twice, ["anchor", "low", "hull"], "left"), "ranges")
+            # One piece of each closed range stays open for those that share a part of it only.
+            still = alive.filter("n is null or (mixed and piece = first)")
+            opened = still.groupBy("anchor", "piece").agg(F.collect_list("low").alias("lows"))
+            alive = alive.filter("n is not null")  # of a single window, the shared part is the whole
+        found.append(alive.groupBy("anchor", "piece").agg(F.flatten(F.collect_list("run")).alias("runs")))
+        parent = width
+    return reduce(DataFrame.unionByName, found)
 
 
 def _cut_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in at.slices(batches, "text"):
         data, offsets = at.utf8(batch.column("text"))
-        cuts = batch.column("cuts").to_pylist()
-        removed, spans, digests = [], [], []
+        cuts = batch.column("cuts").fill_null(pa.scalar([], batch.column("cuts").type))
+        values = cuts.flatten().to_numpy(zero_copy_only=False)
+        base = np.repeat(offsets[:-1], np.diff(cuts.offsets.to_numpy()))
+        marks = np.zeros(len(data) + 1, np.int32)
+        np.add.at(marks, (values + base)[::2], 1)
+        np.add.at(marks, (values + base)[1::2], -1)
+        gone = np.cumsum(marks[:-1]) > 0
+        # A span begins where a byte goes and the one before stays or belongs to another text.
+        begins = gone.copy()
+        begins[1:] &= ~gone[:-1]
+        heads = offsets[:-1][offsets[:-1] < len(data)]
+        begins[heads] = gone[heads]
+        removed, spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[offsets]) for x in (gone, begins))
+        digests = []
         for k in range(batch.num_rows):
             text = data[offsets[k] : offsets[k + 1]]
-            marks = np.zeros(len(text) + 1, np.int64)
-            for part in cuts[k] or ():
-                np.add.at(marks, part[::2], 1)
-                np.add.at(marks, part[1::2], -1)
-            gone = np.cumsum(marks)[:-1] > 0
-            removed.append(int(gone.sum()))
-            spans.append(len(_runs(gone)) // 2)
-            digests.append(hashlib.sha256(text[~gone].tobytes()).hexdigest())
+            text = text[~gone[offsets[k] : offsets[k + 1]]] if removed[k] else text
+            digests.append(hashlib.sha256(text.tobytes()).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
@@ -333,37 +395,49 @@ def _cut_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _some(texts: DataFrame, keys: DataFrame, how: str) -> DataFrame | None:
+    """``texts`` joined with the text hashes ``keys`` by broadcast, None if they are too many (8 bytes each)."""
+    return texts.join(F.broadcast(keys), "t", how) if keys.count() <= BROADCAST_ROWS else None
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(texts with their hash ``t``, per text hash the runs of bytes to remove: ``cuts`` array of start, end, ...)."""
     texts = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     placed = texts.mapInArrow(_anchor_batches, "t long, anchor long, piece long, low long, length int")
     placed = stage_table(placed, "anchors")
     pieces = placed.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
-    pieces = stage_table(pieces, "pieces")
     several = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("all"))
     several = several.filter("all > 1").select("anchor", "different")
-    common = stage_table(salted(pieces, several, ["anchor"], _SALTS, F.col("piece")), "common")
+    common = stage_table(pieces.join(several, "anchor"), "common")
 
     unlike = common.filter("different > 1")
     wanted = unlike.groupBy("t").agg(F.flatten(F.collect_list(F.array("anchor", "piece"))).alias("wanted"))
-    sources = texts.join(wanted, "t").dropDuplicates(["t"]).select("text", "wanted")
+    wanted = stage_table(wanted, "wanted")
+    some = _some(texts, wanted.select("t"), "left_semi")
+    sources = (texts if some is None else some).join(wanted, "t").dropDuplicates(["t"]).select("text", "wanted")
     parts = sources.mapInArrow(_piece_batches, "anchor long, piece long, before int, bytes binary")
     parts = stage_table(parts, "piece-bytes")
-    hot = unlike.filter(F.col("different") > GROUP_PIECES).select("anchor", "piece")
-    few = parts.join(hot, ["anchor", "piece"], "left_anti")
+    many = unlike.filter(F.col("different") > GROUP_PIECES).select("anchor").distinct()
+    few = parts.join(many, "anchor", "left_anti")
     few = few.repartition("anchor").sortWithinPartitions("anchor", "piece")
     runs = few.mapInArrow(_cover_batches, "anchor long, piece long, runs array<int>")
-    runs = runs.unionByName(_covered_by_counts(parts.join(hot, ["anchor", "piece"], "left_semi")))
+    runs = runs.unionByName(_covered_by_ranges(parts.join(many, "anchor", "left_semi")))
     whole = common.filter("n > 1").select("anchor", "piece", F.lit(None).cast("array<int>").alias("runs"))
     runs = stage_table(runs.unionByName(whole), "covered")
     # A piece that occurs twice is covered whole, whatever the comparison found.
-    runs = runs.groupBy("anchor", "piece").agg(F.collect_list("runs").alias("runs"), F.count_if(F.col("runs").isNull()).alias("whole"))
-    back = salted(placed, runs, ["anchor", "piece"], _SALTS, F.col("t"))
-    whole_run = F.when(F.col("length") >= THRESHOLD, F.array(F.lit(0), F.col("length"))).otherwise(F.array().cast("array<int>"))
-    each = F.when(F.col("whole") > 0, whole_run).otherwise(F.flatten("runs"))
+    runs = runs.groupBy("anchor", "piece").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"), F.count_if(F.col("runs").isNull()).alias("whole")
+    )
+    # Copies of a text have the same anchors, which are looked up once.
+    once = placed.select("t", "anchor", "piece", "low", "length").distinct()
+    back = once.join(runs, ["anchor", "piece"])
+    whole_run = F.when(F.col("length") >= THRESHOLD, F.array(F.lit(0), F.col("length")))
+    whole_run = whole_run.otherwise(F.array().cast("array<int>"))
+    each = F.when(F.col("whole") > 0, whole_run).otherwise(F.col("runs"))
     cut = F.transform(each, lambda x: x.cast("long") + F.col("low"))
-    cuts = back.select("t", cut.alias("cut")).filter(F.size("cut") > 0).groupBy("t").agg(F.collect_set("cut").alias("cuts"))
-    return texts, cuts
+    cuts = back.select("t", cut.alias("cut")).filter(F.size("cut") > 0)
+    cuts = cuts.groupBy("t").agg(F.flatten(F.collect_list("cut")).alias("cuts"))
+    return texts, stage_table(cuts, "cuts")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -372,5 +446,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")
     )
     _, cuts = repeated_spans(picked)
-    joined = picked.withColumn("t", F.xxhash64("text")).join(cuts, "t", "left").select("id", "text", "cuts")
-    return joined.mapInArrow(_cut_batches, FOUND)
+    hashed, keys = picked.withColumn("t", F.xxhash64("text")), cuts.select("t")
+    touched = _some(hashed, keys, "left_semi")
+    if touched is None:
+        joined = hashed.join(cuts, "t", "left")
+    else:
+        rest = _some(hashed, keys, "left_anti").withColumn("cuts", F.lit(None).cast("array<long>"))
+        joined = touched.join(cuts, "t").unionByName(rest)
+    return joined.select("id", "text", "cuts").mapInArrow(_cut_batches, FOUND)
