@@ -38,7 +38,7 @@ BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 LOW_BITS = 2
 NEAR = 0.5  # estimated similarity that joins two classes of a bucket to a cluster
-BLOCK_MEMBERS, BLOCK_SHINGLES = 1_000, 1_000_000  # of a block, on average at most
+BLOCK_MEMBERS, BLOCK_SHINGLES = 600, 400_000  # of a block, on average at most
 BROADCAST_ROWS = 1_000_000
 SKETCH = "id long, size int, key1 long, key2 long, planes array<long>, bands array<long>"
 
