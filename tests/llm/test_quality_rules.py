@@ -82,3 +82,14 @@ def test_below_the_limits_nothing_is_removed(frame):
 
 def test_empty_table(frame):
     assert q.rate_documents(frame([])).isEmpty() and q.keep_documents(frame([])).isEmpty()
+
+
+def test_documents_that_are_nearly_all_boilerplate_are_counted_one_by_one(frame):
+    licence = " ".join(f"permission{k}" for k in range(58))
+    rows = [(i, licence + "\n" + " ".join(f"w{i}k{k}" for k in range(12))) for i in range(500)]
+    rows += [(1000 + i, licence + "\nsame end") for i in range(30)]  # copies of one document
+    rated = {r.id: r for r in q.rate_documents(frame(rows)).collect()}
+    assert rated[0].kept and rated[0].removed is None  # the host's first
+    assert [i for i in rated if rated[i].kept] == [0]
+    lines = q.text_counts(frame(rows), "doc_id", "text", "source").select("host", "content", "id")
+    assert lines.select("content").distinct().count() == 501

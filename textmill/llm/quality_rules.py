@@ -2,9 +2,8 @@
 
 Normalised lines (lower case, blanks collapsed) are hashed and the distinct documents that hold them are counted per
 host. A line above the limits is boilerplate there: it is removed from every document but the host's first (smallest
-id) that has it, and a document with too little left is rejected. Documents that share their smallest three-word window
-(by md5, among windows that begin with a long word if there are any) count as one, so a group of copies doesn't make its
-own lines boilerplate.
+id) that has it, and a document with too little left is rejected. Rows with the same text count as one document, so a
+group of exact copies doesn't make its own lines boilerplate; any other difference makes another document.
 
 Everything is column expressions. One pass over the texts writes counts and line hashes to the shared folder; the two
 shuffles after it move hashes. Hot lines are combined in the map tasks before counting and dealt to several tasks when
@@ -28,7 +27,7 @@ MAX_LINE_DOCS = 20
 MAX_LINE_PER_MILLE = 5
 MIN_LEFT_WORDS = 50
 MIN_LEFT_PERCENT = 30
-LONG_WORD = 10
+LONG_WORD = 10  # read by the SQL twin only
 _SALTS = 16
 
 
@@ -38,20 +37,6 @@ def _window_places(tokens: Column, size: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _three(tokens: Column, i: Column) -> list[Column]:
-    return [F.get(tokens, i + k) for k in range(3)]
-
-
-def _identity(tokens: Column) -> Column:
-    """The window that stands for a content; hashing those behind long words alone saves most of the work."""
-    places = _window_places(tokens, 3)
-    smallest = lambda some: F.array_min(
-        F.transform(some, lambda i: F.md5(F.concat_ws(" ", *_three(tokens, i))))
-    )
-    behind_long = F.filter(places, lambda i: F.length(F.get(tokens, i)) >= LONG_WORD)
-    return F.coalesce(smallest(behind_long), smallest(places), F.md5(F.concat_ws(" ", tokens)))
-
-
 def _n_repeat_words(windows: Column) -> Column:
     """Words inside three-word windows that the text has twice or more.
 
@@ -71,7 +56,7 @@ def _n_repeat_words(windows: Column) -> Column:
 
 
 def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Counts of each text, its lines as (hash, words) and the window that stands for its content."""
+    """Counts of each text, its lines as (hash, words) and the hash of the whole text."""
     blank = lambda line: F.length(F.regexp_replace(line, BLANKS, "")) == 0
     normal = lambda line: F.lower(F.trim(F.regexp_replace(line, BLANKS, " ")))
     picked = pick(docs, id=id_col, text=text_col, host=host_col).withColumn("text", F.coalesce("text", F.lit("")))
@@ -93,10 +78,9 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
         F.filter(lines, lambda line: ~blank(line)).alias("worded"),
         F.array_sort(
             F.transform(
-                _window_places(tokens, 3), lambda i: F.struct(F.xxhash64(*_three(tokens, i)).alias("h"), i.alias("p"))
+                _window_places(tokens, 3), lambda i: F.struct(F.xxhash64(*(F.get(tokens, i + k) for k in range(3))).alias("h"), i.alias("p"))
             )
         ).alias("windows"),
-        _identity(tokens).alias("identity"),
         F.transform(
             lines,
             lambda line: F.struct(F.xxhash64(normal(line)).alias("h"), F.size(words(line)).alias("n")),
@@ -106,7 +90,6 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
         "id",
         "host",
         "content",
-        "identity",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -119,9 +102,9 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
 def frequent_lines(lines: DataFrame, max_docs: int, max_per_mille: int) -> DataFrame:
     """(host, h, first_id) of lines in more distinct documents of their host than both limits allow."""
     counted = lines.groupBy("host", "h").agg(
-        F.count_distinct("identity").alias("n_docs"), F.min("id").alias("first_id")
+        F.count_distinct("content").alias("n_docs"), F.min("id").alias("first_id")
     )
-    hosts = lines.groupBy(F.col("host").alias("_host")).agg(F.count_distinct("identity").alias("host_docs"))
+    hosts = lines.groupBy(F.col("host").alias("_host")).agg(F.count_distinct("content").alias("host_docs"))
     above = counted.filter(F.col("n_docs") > max_docs)
     return (
         above.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
@@ -144,8 +127,8 @@ def rate_documents(
     ``n_left`` (words outside removed lines) and ``removed`` (0-based places of removed lines, null for none).
     """
     counts = stage_table(text_counts(docs, id_col, text_col, host_col), "quality-counts")
-    lines = counts.select("id", "host", "content", "identity", F.posexplode("lines").alias("place", "line")).select(
-        "id", "host", "content", "identity", "place", F.col("line.h").alias("h"), F.col("line.n").alias("n")
+    lines = counts.select("id", "host", "content", F.posexplode("lines").alias("place", "line")).select(
+        "id", "host", "content", "place", F.col("line.h").alias("h"), F.col("line.n").alias("n")
     )
     lines = lines.filter(F.col("n") > 0)
     frequent = frequent_lines(lines, max_line_docs, max_line_per_mille)
