@@ -113,3 +113,14 @@ def test_positions_are_topological(run):
     for k, used in needs.items():
         assert place["call", k] < place["result", k]
         assert used is None or place["result", used] < place["call", k]
+
+
+def test_calls_from_turns_hold_whole_texts(spark):
+    texts = ["a \"quoted\" word \\ and\nline " * 4_000 + "end", 'he said "$c1-9" to me, ' * 5 + "é漢🎈", "short"]
+    rows = [(1, 2 * k + 1, "assistant", text) for k, text in enumerate(texts)]
+    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in t.format_chat(t.from_conversations(talk)).collect()}
+    for k, text in enumerate(texts):
+        row = got[2 * k + 1]
+        assert json.loads(row.json)["arguments"]["query"] == text
+        assert not any("no call" in error for error in row.errors)

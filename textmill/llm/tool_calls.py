@@ -87,6 +87,13 @@ def _quoted(text: Column) -> Column:
     return F.when(text.isNotNull(), F.substring(one, F.lit(2), F.length(one) - 2))
 
 
+def _references(arguments: Column) -> Column:
+    """Distinct ids in strings ``"$id"``. Every string is read to its end, so a quoted "$id" inside one is none."""
+    strings = F.regexp_extract_all(arguments, F.lit(r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'), F.lit(1))
+    named = F.filter(strings, lambda x: x.startswith("$") & (F.length(x) > 1))
+    return F.array_distinct(F.transform(named, lambda x: F.substr(x, F.lit(2))))
+
+
 def _waves(needs: DataFrame) -> DataFrame | None:
     """(conv_id, kind, call_id, wave, circular) of messages that can't keep their turn, None if all can.
 
@@ -124,8 +131,10 @@ def format_chat(messages: DataFrame, tools: Schema = TOOLS) -> DataFrame:
     rows = messages.select(*COLUMNS)
     key = ["conv_id", "kind", "call_id"]
     tagged = rows.filter((F.col("kind") != PLAIN) & F.col("call_id").isNotNull())
+    # References are cut out before grouping, so arguments of any length stay where they are.
+    used = tagged.select(*key, "turn", _references(F.coalesce("arguments", F.lit(""))).alias("used"))
     first = stage_table(
-        tagged.groupBy(*key).agg(F.min("turn").alias("first_turn"), F.min_by("arguments", "turn").alias("used")), "first"
+        used.groupBy(*key).agg(F.min("turn").alias("first_turn"), F.min_by("used", "turn").alias("used")), "first"
     )
     part = lambda kind, prefix: first.filter(F.col("kind") == kind).select(
         F.col("conv_id").alias(f"{prefix}conv"), F.col("call_id").alias(f"{prefix}id"), F.col("first_turn").alias(f"{prefix}turn")
@@ -138,9 +147,8 @@ def format_chat(messages: DataFrame, tools: Schema = TOOLS) -> DataFrame:
     )
     links = stage_table(links, "call-links")
 
-    strings = F.regexp_extract_all(F.coalesce("used", F.lit("")), F.lit(r'"\$((?:[^"\\]|\\.)+)"'), F.lit(1))
     uses = first.filter(F.col("kind") == CALL).select(
-        "conv_id", "call_id", F.col("first_turn").alias("turn"), F.explode(F.array_distinct(strings)).alias("needed")
+        "conv_id", "call_id", F.col("first_turn").alias("turn"), F.explode("used").alias("needed")
     )
     target = links.select(
         F.col("conv_id").alias("t_conv"), F.col("call_id").alias("t_id"), F.col("c_turn").alias("t_call"), F.col("r_turn").alias("t_result")
@@ -226,16 +234,15 @@ def _same(key: list[str], prefix: str) -> Column:
 
 
 def from_conversations(conversations: DataFrame) -> DataFrame:
-    """Messages with calls, from plain turns: an assistant's turn becomes a call about its text, the user's turn after
-    it the result. Every fifth limit is written as a string, and a call from turn two on uses the result before."""
+    """Messages with calls, from plain turns: an assistant's turn becomes a call about its whole text, the user's
+    turn after it the result. Every fifth limit is written as a string, and a call from turn two on uses the result before."""
     n = F.length("text")
     is_call, is_result = F.col("role") == "assistant", (F.col("role") == "user") & (F.col("turn") > 0)
     call_id = lambda back: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn") - back)
-    query = F.substring("text", 1, 60)
     after = F.when(F.col("turn") >= 2, F.concat(F.lit("$"), call_id(2)))
     arguments = F.when(
-        n % 5 == 0, F.to_json(F.struct(query.alias("query"), n.cast("string").alias("limit"), after.alias("after")))
-    ).otherwise(F.to_json(F.struct(query.alias("query"), n.alias("limit"), after.alias("after"))))
+        n % 5 == 0, F.to_json(F.struct(F.col("text").alias("query"), n.cast("string").alias("limit"), after.alias("after")))
+    ).otherwise(F.to_json(F.struct(F.col("text").alias("query"), n.alias("limit"), after.alias("after"))))
     names = F.array(*(F.lit(t) for t in sorted(TOOLS)))
     return conversations.select(
         "conv_id",
