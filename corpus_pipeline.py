@@ -13,6 +13,8 @@ from textmill.llm import decontaminate, minhash, mixing, pii, quality_rules
 from textmill.llm.common import n_words
 from textmill.storage import stage_table
 
+SHINGLE, PERCENT = 5, 80  # of the near-duplicate stage; op2_minhash has its own
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without boilerplate lines."""
@@ -21,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near-duplicates."""
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, percent=PERCENT, shingle=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicates by b-bit MinHash.
 
-1. One pass over the texts hashes the distinct three-word shingles of each document and keeps its set size, a
+1. One pass over the texts hashes the distinct shingles (three words by default) of each document and keeps its set size, a
    128-bit hash of the set, 32 band keys of six minima each, and the two low bits of all 192 minima in two bit planes.
    Documents with equal sets form a class, which its smallest id represents from here on.
 2. Band keys with several classes are candidate buckets. Every class of a bucket is paired with the bucket's smallest
@@ -10,10 +10,10 @@
    (each pair of blocks of a large cluster is a group of its own), shared shingles are counted as a product of 0-1
    matrices, and a group returns a spanning forest of its links, fewer rows than it has members. Links give components.
 
-A pair at the threshold shares no bucket with probability (1 - 0.85^6)^32 < 3e-7. Tables between steps are written to
+A pair at the threshold shares no bucket with probability (1 - 0.85^6)^32 < 3e-7, at 80 percent < 6e-5. Tables between steps are written to
 the shared folder; only ids, keys and bits are shuffled for all documents, texts for members of clusters alone.
 
-Edge cases: a text with one or two words is one shingle; a null or blank text has none and is linked with nothing;
+Edge cases: a text with fewer words than a shingle is one shingle; a null or blank text has none and is linked with nothing;
 a null id gets a null component and is kept; rows that share an id are one document; other columns are ignored; an empty
 table gives an empty result.
 """
@@ -82,7 +82,7 @@ def _signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return minima
 
 
-def sketch_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_batches(batches: Iterable[pa.RecordBatch], shingle: int = SHINGLE) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [
             ("id", pa.int64()),
@@ -94,7 +94,7 @@ def sketch_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         ]
     )
     for batch in at.slices(batches, "text"):
-        sets, offsets = shingle_sets(batch.column("text"))
+        sets, offsets = shingle_sets(batch.column("text"), shingle)
         sizes = np.diff(offsets)
         filled = np.flatnonzero(sizes)
         n, n_filled = len(sizes), len(filled)
@@ -164,9 +164,9 @@ def common_counts(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return common
 
 
-def forest(ids: np.ndarray, texts: pa.Array, percent: int) -> list[tuple[int, int]]:
+def forest(ids: np.ndarray, texts: pa.Array, percent: int, shingle: int = SHINGLE) -> list[tuple[int, int]]:
     """Links between some rows, enough to connect all that similar rows connect."""
-    sets, offsets = shingle_sets(texts)
+    sets, offsets = shingle_sets(texts, shingle)
     sizes = np.diff(offsets)
     common = common_counts(sets, offsets)
     similar = (common > 0) & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common))
@@ -183,7 +183,7 @@ def forest(ids: np.ndarray, texts: pa.Array, percent: int) -> list[tuple[int, in
     return links
 
 
-def _link_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _link_batches(batches: Iterable[pa.RecordBatch], percent: int, shingle: int) -> Iterator[pa.RecordBatch]:
     """Links of each group; the rows of a group (cluster, i, j) follow each other, maybe over several batches."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     open_key: tuple | None = None
@@ -191,7 +191,7 @@ def _link_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[p
 
     def close() -> pa.RecordBatch:
         group = pa.Table.from_batches(parts).combine_chunks()
-        links = forest(group["id"].to_numpy(), group["text"].combine_chunks(), percent)
+        links = forest(group["id"].to_numpy(), group["text"].combine_chunks(), percent, shingle)
         return pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links], schema=schema)
 
     for batch in batches:
@@ -210,7 +210,9 @@ def _link_batches(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[p
         yield close()
 
 
-def links_in_clusters(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def links_in_clusters(
+    clusters: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, shingle: int = SHINGLE
+) -> DataFrame:
     """Links (a, b) that connect what is similar within each cluster; ``clusters`` has the columns node, component."""
     sized = clusters.join(nodes.select(F.col("id").alias("node"), "size"), "node")
     blocks = sized.groupBy("component").agg(
@@ -231,12 +233,14 @@ def links_in_clusters(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, p
     rows = texts.join(placed, "id").select("cluster", "block", others, "id", "text")
     rows = rows.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "text")
     grouped = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return stage_table(grouped.mapInArrow(lambda b: _link_batches(b, percent), "a long, b long"), "links")
+    return stage_table(grouped.mapInArrow(lambda b: _link_batches(b, percent, shingle), "a long, b long"), "links")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def keep_first(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE
+) -> DataFrame:
     """The rows of ``docs`` without those of a group but its smallest id; one row is kept of those that share an id."""
-    found = near_duplicates(docs, id_col, text_col, percent).filter(F.col("id") == F.col("component"))
+    found = near_duplicates(docs, id_col, text_col, percent, shingle).filter(F.col("id") == F.col("component"))
     first = found.select(F.col("id").alias("_first")).distinct()
     named = F.col(f"`{id_col}`")
     kept = docs.join(first, named == F.col("_first")).dropDuplicates(["_first"]).select(*docs.columns)
@@ -244,11 +248,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE
 ) -> DataFrame:
     """One row per row of ``docs``: id, size (of its shingle set), component (smallest id reachable)."""
     texts = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    sketches = stage_table(texts.mapInArrow(sketch_batches, SKETCH), "sketches")
+    sketches = stage_table(texts.mapInArrow(lambda b: sketch_batches(b, shingle), SKETCH), "sketches")
     real = sketches.filter((F.col("size") > 0) & F.col("id").isNotNull())
     keys = ["key1", "key2", "size"]
     classes = stage_table(
@@ -270,7 +274,7 @@ def near_duplicates(
         .select("a", "b")
     )
     clusters = stage_table(connected(near), "near")
-    links = links_in_clusters(clusters, nodes, texts.filter(F.col("id").isNotNull()), percent)
+    links = links_in_clusters(clusters, nodes, texts.filter(F.col("id").isNotNull()), percent, shingle)
     more = stage_table(connected(links), "components")
 
     named = classes.join(more.withColumnRenamed("node", "id"), "id", "left")
