@@ -203,3 +203,59 @@ SELECT conv_id, turn, kind, call_id, status, errors, json,
          CASE kind WHEN 'call' THEN 1 WHEN 'result' THEN 2 ELSE 0 END, call_id, json) AS position
 FROM written
 """
+
+# CRC-32 of bytes ``b`` (a list of numbers), bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes}), lambda c, b: "
+    "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+
+def _written(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_written, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+_DIGITS = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)"
+_NEXT_LEVEL = "[sha256(h[2 * i + 1] || coalesce(h[2 * i + 2], '')) FOR i IN range(0, (len(h) + 1) // 2)]"
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_CRC.format(bytes=_DIGITS)} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claimed
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos FROM leaves),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS h FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, {_NEXT_LEVEL} FROM levels WHERE len(h) > 1),
+subroots AS (
+  SELECT lang, h[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM levels WHERE len(h) = 1),
+top AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, {_NEXT_LEVEL} FROM top WHERE len(h) > 1),
+climb AS (
+  SELECT doc_id, lang, leaf, 0 AS level, pos, claimed AS folded, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, c.lang, leaf, c.level + 1, pos // 2,
+         sha256(CASE WHEN pos % 2 = 1 THEN h[pos] || folded ELSE folded || coalesce(h[pos + 2], '') END),
+         proof || CASE WHEN pos % 2 = 1 THEN h[pos] ELSE coalesce(h[pos + 2], '') END
+  FROM climb c JOIN levels l ON c.level = l.level AND c.lang IS NOT DISTINCT FROM l.lang WHERE len(h) > 1),
+ended AS (
+  SELECT c.doc_id, c.leaf, c.folded, c.proof, s.subroot, s.place FROM climb c
+  JOIN levels l ON c.level = l.level AND c.lang IS NOT DISTINCT FROM l.lang AND len(l.h) = 1
+  JOIN subroots s ON c.lang IS NOT DISTINCT FROM s.lang),
+upper AS (
+  SELECT doc_id, leaf, subroot, 0 AS level, place AS pos, folded, proof FROM ended
+  UNION ALL
+  SELECT doc_id, leaf, subroot, u.level + 1, pos // 2,
+         sha256(CASE WHEN pos % 2 = 1 THEN h[pos] || folded ELSE folded || coalesce(h[pos + 2], '') END),
+         proof || CASE WHEN pos % 2 = 1 THEN h[pos] ELSE coalesce(h[pos + 2], '') END
+  FROM upper u JOIN top t ON u.level = t.level WHERE len(h) > 1)
+SELECT doc_id, leaf, subroot, h[1] AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h[1] AS verified
+FROM upper u JOIN top t ON u.level = t.level AND len(t.h) = 1
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textmill.llm import (
     decontaminate,
     lm_scoring,
+    merkle,
     minhash,
     mixing,
     pii,
@@ -116,3 +117,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.find(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_documents(table(spark, sf_dir, "documents"))
