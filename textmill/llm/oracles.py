@@ -259,3 +259,41 @@ upper AS (
 SELECT doc_id, leaf, subroot, h[1] AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h[1] AS verified
 FROM upper u JOIN top t ON u.level = t.level AND len(t.h) = 1
 """
+
+# UTF-8 bytes of a text whose code points lie below 256.
+_RUN_BYTES = (
+    "flatten(list_transform(string_split({text}, ''), lambda y: CASE WHEN ord(y) < 128 THEN [ord(y)::BIGINT] "
+    "ELSE [192 + (ord(y)::BIGINT >> 6), 128 + (ord(y)::BIGINT & 63)] END))"
+)
+ORACLES["op12_spelling"] = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+hashed AS (
+  SELECT run, times, {_CRC.format(bytes=_RUN_BYTES.format(text="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h
+  FROM (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run)),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n
+  FROM (SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cut AS (
+  SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT a AS word, count(*) AS n_near, min((-n, b)) AS best FROM pairs JOIN words ON b = word GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best[1] >= 10 * n THEN best[2] END AS form,
+         CASE WHEN -best[1] >= 10 * n THEN (-best[1])::BIGINT END AS form_n
+  FROM words LEFT JOIN near USING (word)),
+climb AS (
+  SELECT word, word AS root, form AS up FROM formed
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM climb c JOIN formed f ON c.up = f.word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM climb WHERE up IS NULL) USING (word)
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +14,10 @@ from textmill.llm import (
     merkle,
     minhash,
     mixing,
+    packing,
     pii,
     quality_rules,
+    spelling,
     suffix_dedup,
     tool_calls,
     url_rules,
@@ -119,6 +122,19 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check_documents(table(spark, sf_dir, "documents"))
