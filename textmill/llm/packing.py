@@ -8,11 +8,10 @@ Blocks lie within a task's input, so nothing is shuffled, and they are closed at
 depends neither on the input nor on a text's copies. Windows of a block that stay below ``FULL_PERCENT`` would be mostly
 padding where blocks are small; their content is laid end to end instead and cut at powers of two, which need none.
 
-Words between ASCII blanks are tokenized on their own, once per worker as long as they are remembered, which gives what
-whole texts give: no normalisation or token of the vocabularies used here reaches across a blank. Words are told apart
-by 64-bit hashes within half a megabyte of text.
+Tokenizers of the kind used here cut texts at blanks and between letters, digits and signs before anything else. So these
+parts are tokenized on their own, once per worker as long as they are remembered, which gives what whole texts give.
 
-Edge cases: a null or empty text is the end id alone; a text of any length is tokenized word by word; equal sizes are
+Edge cases: a null or empty text is the end id alone; a text of any length is tokenized in parts; equal sizes are
 placed in the order of the input; repeated rows are documents of their own; an empty table gives no rows; other columns
 are ignored. Results depend on how the input is dealt to tasks, not on retries: a task that runs again packs the same.
 """
@@ -35,9 +34,8 @@ WINDOW = 2048
 END_ID = 1
 HELD_BYTES = 1 << 25
 FULL_PERCENT = 90
-REMEMBERED_WORDS = 1 << 17
-_LONG_WORD = 100  # bytes; longer ones are not remembered
-_SPECIAL = b"<|"  # special tokens begin so; they are told apart by case
+REMEMBERED = 1 << 19  # parts
+_SLICE_BYTES = 1 << 21
 _TASK_BITS = 33
 PIECES = "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -131,42 +129,91 @@ def pack_block(pieces: list[Piece], window: int = WINDOW) -> Iterator[list[Piece
         yield sequence
 
 
+_BLANK, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+_CLASSES = np.full(256, _OTHER, np.uint8)
+_CLASSES[33:127] = _SIGN
+_CLASSES[np.flatnonzero(~at.NOT_BLANK)] = _BLANK
+_CLASSES[48:58] = _DIGIT
+_CLASSES[65:91] = _CLASSES[97:123] = _LETTER
+_CLASSES[39] = _OTHER  # an apostrophe may belong to what follows
+
+
+def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends): words between blanks, cut into runs of letters, digits and runs of signs.
+
+    A word with anything but these, or with the beginning of a special token, stays whole; in the others A-Z are folded.
+    """
+    kinds = _CLASSES[data]
+    latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)) if len(data) else np.zeros(0, int)
+    kinds[latin] = kinds[latin + 1] = _LETTER
+    kinds[np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))] = _OTHER
+    filled = kinds != _BLANK
+    begin, finish = filled.copy(), filled.copy()
+    begin[1:] &= ~filled[:-1]
+    finish[:-1] &= ~filled[1:]
+    heads, tails = offsets[:-1][offsets[:-1] < len(data)], offsets[1:][offsets[1:] > 0] - 1
+    begin[heads], finish[tails] = filled[heads], filled[tails]
+    word = np.cumsum(begin) - 1
+    word_ends = np.flatnonzero(finish) + 1
+    odd = np.bincount(word[kinds == _OTHER], minlength=len(word_ends)) > 0 if len(word_ends) else np.zeros(0, bool)
+    plain = filled.copy()
+    plain[filled] = ~odd[word[filled]]
+    cut = plain & (kinds == _DIGIT)
+    cut[1:] |= plain[1:] & (kinds[1:] != kinds[:-1])
+    starts = np.flatnonzero(begin | cut)
+    ends = np.minimum(np.append(starts[1:], len(data)), word_ends[word[starts]])
+    return np.where(plain, at.FOLD[data], data), starts, ends
+
+
 class Encoder:
-    """Ids of the texts of a column by a vocabulary file of ``tokenizers``."""
+    """Ids of the texts of a column by a vocabulary file of ``tokenizers``.
+
+    Parts are told apart by 64-bit hashes; ids of those seen are kept until there are ``REMEMBERED``.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, np.ndarray] = {}
-
-    def _words(self, words: list[bytes]) -> list[np.ndarray]:
-        if len(self._known) > REMEMBERED_WORDS:
-            self._known.clear()
-        missing = [w for w in words if w not in self._known]
-        encoded = self._tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, np.uint32) for w, e in zip(missing, encoded)}
-        self._known.update((w, ids) for w, ids in fresh.items() if len(w) <= _LONG_WORD)
-        return [self._known[w] if w in self._known else fresh[w] for w in words]
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes = np.zeros(0, np.uint64)  # in order, with the place and number of each part's ids
+        self._begins = self._sizes = np.zeros(0, np.int64)
+        self._ids = np.array([END_ID], np.uint32)
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        ids, sizes = [self._ids], []
+        for low in range(0, len(parts), 10_000):
+            some = parts[low : low + 10_000]
+            found = self._tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        sizes = np.concatenate(sizes)
+        begins = len(self._ids) + np.cumsum(sizes) - sizes
+        place = np.searchsorted(self._hashes, hashes)
+        self._hashes = np.insert(self._hashes, place, hashes)
+        self._begins, self._sizes = np.insert(self._begins, place, begins), np.insert(self._sizes, place, sizes)
+        self._ids = np.concatenate(ids)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows with ``END_ID`` behind each, offsets of the rows)."""
-        words = at.words(column, at.NOT_BLANK)
-        data, _ = at.utf8(column)
-        if _SPECIAL in data.tobytes():
-            first = inverse = np.arange(len(words.hashes))
-        else:
-            _, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        parts = self._words([data[s:e].tobytes() for s, e in zip(words.starts[first].tolist(), words.ends[first].tolist())])
-        parts.append(np.array([END_ID], np.uint32))
-        sizes = np.array([len(p) for p in parts], np.int64)
-        begins = np.cumsum(sizes) - sizes
-        items = np.insert(inverse.ravel(), words.first[1:], len(parts) - 1)
-        ends = np.concatenate([[0], np.cumsum(sizes[items])])
-        places = np.arange(ends[-1]) - np.repeat(ends[:-1] - begins[items], sizes[items])
-        rows = words.first + np.arange(len(words.first))
-        return np.concatenate(parts)[places], ends[rows]
+        data, offsets = at.utf8(column)
+        data, starts, ends = parts_of(data, offsets)
+        first = np.searchsorted(starts, offsets)
+        if len(self._hashes) > REMEMBERED:
+            self._forget()
+        hashes, sample, inverse = np.unique(at.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(hashes, self._hashes))
+        if len(new):
+            spans = zip(starts[sample[new]].tolist(), ends[sample[new]].tolist())
+            self._learn(hashes[new], [data[s:e].tobytes().decode() for s, e in spans])
+        place = np.searchsorted(self._hashes, hashes)[inverse.ravel()]
+        begins, sizes = np.insert(self._begins[place], first[1:], 0), np.insert(self._sizes[place], first[1:], 1)
+        done = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(done[-1]) - np.repeat(done[:-1] - begins, sizes)
+        return self._ids[places], done[first + np.arange(len(first))]
 
 
 _IN_WORKER: dict[str, Encoder] = {}
@@ -208,7 +255,7 @@ def _pack_batches(batches: Iterable[pa.RecordBatch], path: str, window: int, hel
     numbers = iter(range((context.partitionId() if context else 0) << _TASK_BITS, 1 << 63))
     held: list[Piece] = []
     size = 0
-    for batch in at.slices(batches, "text"):
+    for batch in at.slices(batches, "text", _SLICE_BYTES):
         ids, offsets = encoder(path).encode(batch.column("text"))
         full: list[list[Piece]] = []
         for key, start, end in zip(batch.column("id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
