@@ -93,3 +93,10 @@ def test_documents_that_are_nearly_all_boilerplate_are_counted_one_by_one(frame)
     assert [i for i in rated if rated[i].kept] == [0]
     lines = q.text_counts(frame(rows), "doc_id", "text", "source").select("host", "content", "id")
     assert lines.select("content").distinct().count() == 501
+
+
+def test_a_line_in_very_many_documents_goes_in_a_host_of_any_size(frame):
+    docs = frame([(i, body(i) + ("\nthe same line again" if i < 30 else "")) for i in range(120)])
+    left = lambda **limits: {r.id for r in q.rate_documents(docs, max_line_per_mille=500, **limits).filter("removed is not null").collect()}
+    assert left() == set()
+    assert left(always_line_docs=25) == set(range(1, 30))

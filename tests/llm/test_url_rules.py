@@ -48,3 +48,9 @@ def test_verdicts(spark, clashing):
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert u.judge_urls(pages, u.rules_frame(spark)).isEmpty()
+
+
+def test_a_host_of_very_many_labels(spark):
+    url = "http://" + "a." * 20_000 + "example.org/es/x"
+    got = u.judge_urls(spark.createDataFrame([(1, url)], "page_id long, url string"), u.rules_frame(spark)).collect()
+    assert [(r.rule, r.verdict) for r in got] == [("example.org/es/", "block")]

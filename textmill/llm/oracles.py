@@ -21,10 +21,7 @@ windows AS (
 placed AS (SELECT doc_id, unnest(t) AS t, unnest(range(1, len(t) + 1)) AS p FROM windows),
 repeated AS (SELECT doc_id, p FROM placed QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
 covered AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
-identity AS (
-  SELECT doc_id, coalesce(list_min([md5(x) FOR x IN t IF length(split_part(x, ' ', 1)) >= {q.LONG_WORD}]),
-                          list_min([md5(x) FOR x IN t]), md5(array_to_string(w, ' '))) AS identity
-  FROM windows),
+identity AS (SELECT doc_id, md5(text) AS identity FROM docs),
 lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM docs),
 worded AS (SELECT * FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
@@ -39,7 +36,7 @@ counted AS (
   SELECT source, line, count(DISTINCT identity) AS n, min(doc_id) AS first_id FROM normal GROUP BY source, line),
 frequent AS (
   SELECT c.source, c.line, c.first_id FROM counted c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE c.n > {q.MAX_LINE_DOCS} AND c.n * 1000 > h.n * {q.MAX_LINE_PER_MILLE}),
+  WHERE c.n > {q.MAX_LINE_DOCS} AND (c.n * 1000 > h.n * {q.MAX_LINE_PER_MILLE} OR c.n > {q.ALWAYS_LINE_DOCS})),
 removed AS (
   SELECT n.doc_id, sum(n.n) AS n FROM normal n
   JOIN frequent f ON n.line = f.line AND n.source IS NOT DISTINCT FROM f.source
@@ -192,7 +189,7 @@ written AS (
     CASE WHEN kind = 'call' THEN
       '{"arguments":{' || CASE WHEN needed IS NOT NULL THEN '"after":"$' || needed || '",' ELSE '' END ||
       '"limit":' || CASE WHEN n % 5 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END || ',"query":' ||
-      to_json(substr(text, 1, 60))::VARCHAR || '},"call_id":"' || call_id || '","kind":"call","name":"' || name ||
+      to_json(text)::VARCHAR || '},"call_id":"' || call_id || '","kind":"call","name":"' || name ||
       '","role":' || to_json(role)::VARCHAR || '}'
     ELSE '{' || CASE WHEN call_id IS NOT NULL THEN '"call_id":"' || call_id || '",' ELSE '' END ||
       CASE WHEN text IS NOT NULL THEN '"content":' || to_json(text)::VARCHAR || ',' ELSE '' END ||

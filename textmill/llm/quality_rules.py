@@ -25,9 +25,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LINE_DOCS = 20
 MAX_LINE_PER_MILLE = 5
+ALWAYS_LINE_DOCS = 1_000  # more make a line boilerplate in a host of any size
 MIN_LEFT_WORDS = 50
 MIN_LEFT_PERCENT = 30
-LONG_WORD = 10  # read by the SQL twin only
 _SALTS = 16
 
 
@@ -99,16 +99,18 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
     )
 
 
-def frequent_lines(lines: DataFrame, max_docs: int, max_per_mille: int) -> DataFrame:
-    """(host, h, first_id) of lines in more distinct documents of their host than both limits allow."""
+def frequent_lines(lines: DataFrame, counts: DataFrame, max_docs: int, max_per_mille: int, always: int) -> DataFrame:
+    """(host, h, first_id) of lines in more than ``max_docs`` distinct documents of their host, if these are more than
+    ``max_per_mille`` of its documents or more than ``always``. ``counts`` has one row per document.
+    """
     counted = lines.groupBy("host", "h").agg(
         F.count_distinct("content").alias("n_docs"), F.min("id").alias("first_id")
     )
-    hosts = lines.groupBy(F.col("host").alias("_host")).agg(F.count_distinct("content").alias("host_docs"))
+    hosts = counts.filter("n_words > 0").groupBy(F.col("host").alias("_host")).agg(F.count_distinct("content").alias("host_docs"))
     above = counted.filter(F.col("n_docs") > max_docs)
     return (
         above.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-        .filter(F.col("n_docs") * 1000 > F.col("host_docs") * max_per_mille)
+        .filter((F.col("n_docs") * 1000 > F.col("host_docs") * max_per_mille) | (F.col("n_docs") > always))
         .select("host", "h", "first_id")
     )
 
@@ -120,6 +122,7 @@ def rate_documents(
     host_col: str = "source",
     max_line_docs: int = MAX_LINE_DOCS,
     max_line_per_mille: int = MAX_LINE_PER_MILLE,
+    always_line_docs: int = ALWAYS_LINE_DOCS,
     min_left_words: int = MIN_LEFT_WORDS,
     min_left_percent: int = MIN_LEFT_PERCENT,
 ) -> DataFrame:
@@ -131,7 +134,7 @@ def rate_documents(
         "id", "host", "content", "place", F.col("line.h").alias("h"), F.col("line.n").alias("n")
     )
     lines = lines.filter(F.col("n") > 0)
-    frequent = frequent_lines(lines, max_line_docs, max_line_per_mille)
+    frequent = frequent_lines(lines, counts, max_line_docs, max_line_per_mille, always_line_docs)
     hits = salted(lines, frequent, ["host", "h"], _SALTS, F.col("content"))
     hits = hits.filter(~F.col("id").eqNullSafe(F.col("first_id"))).select(
         F.col("id").alias("_id"), F.col("host").alias("_host"), F.col("content").alias("_content"), "place", "n"

@@ -2,7 +2,7 @@
 
 A rule (host, path prefix) fits its host, all subdomains, and every path that starts with its own. Its canonical key is
 the host with its labels reversed, a separator and the path prefix, so the keys it fits for one host form an interval.
-A url has one key per suffix of its host. Rules and url keys are sorted together into range partitions; as intervals
+A url has one key per suffix of its host that has as many labels as some rule's host. Rules and url keys are sorted together into range partitions; as intervals
 of prefixes are nested or apart, the last rule at or before a key, with the rules it is nested in, is the stack of
 active rules there, and the first of the stack that fits is the innermost. The last rule before a partition comes from a
 table with one row per partition. The longest rule over a url's keys decides.
@@ -82,16 +82,18 @@ def judge_urls(
     """One row per row of ``pages``: id, host, path, rule (null if none fits), verdict."""
     urls = pick(pages, id=id_col, url=url_col).groupBy("id", "url").agg(F.count(F.lit(1)).alias("copies"))
     urls = urls.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.slice(labels, F.size(labels) - n + 1, n))
+    sizes = {1, *(r[0] for r in rules.select(F.size(F.split("host", r"\."))).distinct().collect())}  # a few numbers
+    labels = F.length("host") - F.length(F.replace("host", F.lit("."))) + 1
+    suffixes = F.array(*(F.when(labels >= n, F.substring_index("host", ".", -n)) for n in sorted(sizes)))
+    suffixes = F.filter(suffixes, lambda suffix: suffix.isNotNull())
     points = urls.select("id", "url", "copies", "host", "path", F.explode(suffixes).alias("suffix")).select(
         "id",
         "url",
         "copies",
         "host",
         "path",
-        F.array_join("suffix", ".").alias("suffix"),
-        F.concat(_reversed(F.col("suffix")), F.lit(_SEPARATOR), F.col("path")).alias("key"),
+        "suffix",
+        F.concat(_reversed(F.split("suffix", r"\.")), F.lit(_SEPARATOR), F.col("path")).alias("key"),
         F.lit(1).alias("kind"),
     )
     starts = rule_table(rules).select("key", "stack", F.lit(0).alias("kind"))
