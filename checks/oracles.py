@@ -396,6 +396,7 @@ FROM tagged GROUP BY ALL""",
   GROUP BY ALL) QUALIFY rank <= 2000""",
     ),
     "sentence_rows": query(SEGMENTED, SENTENCE_ROWS),
+    "sentence_rows_in_pieces": query(SEGMENTED, SENTENCE_ROWS),
     "sentence_rows_chunked": query(
         (DOCS, line_cte(), chunk_cte(1_000, 200), token_cte(), TAGGED, SENTS), SENTENCE_ROWS
     ),

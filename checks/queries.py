@@ -279,6 +279,13 @@ def sentence_rows_chunked(spark, sf_dir):
     return found.filter(F.col("raw") != "").select(*PLACE, "raw", "fault")
 
 
+@query
+def sentence_rows_in_pieces(spark, sf_dir):
+    """Lines of most texts cut between any tokens, the state carried from piece to piece."""
+    found = segment_documents(documents(spark, sf_dir), ANALYSER, long_bytes=400, piece_chars=25)
+    return found.filter(F.col("raw") != "").select(*PLACE, "raw", "fault")
+
+
 @query
 def rated_sentences(spark, sf_dir):
     found = extracted(spark, sf_dir).filter(F.col("status") != "blank")

@@ -7,25 +7,72 @@ from pyspark.sql import functions as F
 
 from textmill.functions import chars
 from textmill.functions.cleaning import clean_sentence
-from textmill.operators.lines import CHUNK_CHARS, explode_chunks
-from textmill.operators.segment import split_sentences, structure_fault
+from textmill.operators.lines import CHUNK_CHARS, explode_chunks, explode_lines
+from textmill.operators.scan import BLOCK
+from textmill.operators.segment import join_pieces, split_sentences, structure_fault
 
 MIN_DENSITY = 0.75  # fixed value
 ORDINALS = ("line_no", "chunk_no", "sent_no")
+LONG_BYTES = 4 << 20  # lines of longer texts are segmented in pieces
+PIECE_CHARS = 20_000
 
 
 def segment_documents(
-    docs: DataFrame, analyser, max_bytes: int | None = None, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame,
+    analyser,
+    max_bytes: int | None = None,
+    chunk_chars: int = CHUNK_CHARS,
+    long_bytes: int = LONG_BYTES,
+    piece_chars: int = PIECE_CHARS,
 ) -> DataFrame:
     """One row per sentence: ``raw``, ``fault`` (first structural rule broken) and ``orig_chars``.
 
     ``orig_chars`` holds the chunk's Japanese characters on its first row and 0 on the others, so its sum over any set
     of whole documents is their count: stripping and splitting only remove whitespace. A chunk the analyser failed on
     is one row with the fault ``analyser_error``. Blank sentences stay, with an empty ``raw``. Lines are cut where they
-    exceed ``max_bytes`` or, without it, the analyser's own ``max_line_bytes``; most have none and read whole lines.
+    exceed ``max_bytes`` or, without it, the analyser's own ``max_line_bytes``; most have none and read whole lines. These,
+    in texts above ``long_bytes``, are segmented in pieces of ``piece_chars`` with the same result, but for ``orig_chars``:
+    each piece has its own on the sentence it begins in.
     """
+    limit = analyser.max_line_bytes if max_bytes is None else max_bytes
+    if limit is not None:
+        return _segment_chunks(docs, analyser, limit, chunk_chars)
+    # A null text has no lines. A filter would compute the texts of the input twice.
+    short = docs.withColumn("text", F.when(F.octet_length("text") <= long_bytes, F.col("text")))
+    long = docs.filter(F.octet_length("text") > long_bytes)
+    return _segment_chunks(short, analyser, None, chunk_chars).unionByName(_segment_pieces(long, analyser, piece_chars))
+
+
+def _segment_pieces(docs: DataFrame, analyser, piece_chars: int, block: int = BLOCK) -> DataFrame:
+    """Sentences of long lines. Pieces are dealt to tasks one by one, so no task holds a line's tokens."""
+    keys = ["source", "doc_id", "line_no", "chunk_no", "failed"]
+    pieces = explode_lines(docs).select(
+        "source", "doc_id", "line_no", F.posexplode(analyser.pieces(F.col("line"), piece_chars)).alias("piece_no", "chunk")
+    )
+    pieces = pieces.repartition("source", "doc_id", "line_no", "piece_no")
+    found = analyser.annotate(pieces.withColumn("extra", chars.japanese_chars(F.col("chunk")).cast("long")), "chunk")
+    failed = F.col("flags").isNull()
+    found = found.select(
+        *keys[:3],
+        F.lit(0).alias("chunk_no"),
+        failed.alias("failed"),
+        "piece_no",
+        F.when(failed, F.array("chunk")).otherwise(F.col("surfaces")).alias("surfaces"),
+        F.when(failed, F.array(F.lit(0))).otherwise(F.col("flags")).alias("flags"),
+        "extra",
+    )
+    return join_pieces(found, keys, block).select(
+        *keys[:4],
+        "sent_no",
+        F.col("text").alias("raw"),
+        F.when(F.col("failed"), "analyser_error").otherwise(structure_fault(F.col("text"), F.col("flags"))).alias("fault"),
+        F.col("extra").alias("orig_chars"),
+    )
+
+
+def _segment_chunks(docs: DataFrame, analyser, max_bytes: int | None, chunk_chars: int) -> DataFrame:
     chunk = F.col("chunk")
-    chunks = explode_chunks(docs, analyser.max_line_bytes if max_bytes is None else max_bytes, chunk_chars)
+    chunks = explode_chunks(docs, max_bytes, chunk_chars)
     chunks = chunks.withColumn("_chunk_chars", chars.japanese_chars(chunk).cast("long"))
     analysed = (
         analyser.annotate(chunks, "chunk")

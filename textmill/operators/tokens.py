@@ -135,6 +135,12 @@ class ScriptRunAnalyser:
     def surfaces(self, text: Column, mode: str = "C") -> Column:
         return F.regexp_extract_all(text, F.lit(self.PATTERNS[mode]), F.lit(0))
 
+    def pieces(self, line: Column, chars: int) -> Column:
+        """``line`` in pieces of ``chars`` characters, each up to the end of the token it would cut."""
+        runs = (f"[{HIRAGANA}]", self.KATAKANA_RUN[:-1], f"[{HALF_WIDTH_KATAKANA}]", f"[{LATIN}]", f"[{DIGIT}]")
+        rest = "|".join([rf"(?<=[{KANJI}])[{KANJI}]*+[{HIRAGANA}]*+", *(f"(?<={run}){run}*+" for run in runs)])
+        return F.regexp_extract_all(line, F.lit(rf"(?s).{{1,{chars}}}(?:{rest}|)"), F.lit(0))
+
     def normalize(self, surface: Column) -> Column:
         return F.translate(surface, self.FOLD_FROM, self.FOLD_TO)
 
@@ -243,6 +249,10 @@ class PythonAnalyser:
         )
         return forms(text)
 
+    def pieces(self, line: Column, chars: int) -> Column:
+        """The whole line: an analyser without ``max_line_bytes`` takes lines of any length."""
+        return F.array(line)
+
     def units_by_mode(self, text: Column, modes=MODES) -> Column:
         """Array of (mode, units) with line breaks flattened, from one call per text and mode in one pass."""
         returns = T.ArrayType(T.StructType([T.StructField("mode", T.StringType()), T.StructField("units", FORM)]))
