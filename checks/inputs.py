@@ -7,11 +7,15 @@ every rule has something to decide. Accented letters stay as they are and bring
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.chars import WHITESPACE_CHARS
+from textmill.operators import tokens as t
 from textmill.operators.rank import global_rank
-from textmill.operators.tokens import ScriptRunAnalyser
+from textmill.operators.tokens import ScriptRunAnalyser, Tags
 from textmill.sources.documents import DocumentSource, read_documents, spread
 
 ANALYSER = ScriptRunAnalyser()
@@ -56,3 +60,41 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = words.groupBy("word").count()
     ranked = global_rank(counted, [F.desc("count"), F.asc("word")])
     return ranked.select("word", (F.col("rank") - 1).alias("rank"))
+
+
+def python_script_runs():
+    """The built-in analyser once more as a user would write one, for :class:`PythonAnalyser`."""
+    code_point = lambda m: chr(int(m[1], 16))
+    patterns = {mode: re.compile(re.sub(r"\\x\{(\w+)\}", code_point, p)) for mode, p in ANALYSER.PATTERNS.items()}
+    fold = str.maketrans(ANALYSER.FOLD_FROM, ANALYSER.FOLD_TO)
+    emoji = re.compile("[" + re.sub(r"\\x\{(\w+)\}", code_point, t.EMOJI) + "]")
+    symbol, particle, final = Tags(t.SYMBOL), Tags(t.PARTICLE), "終止形-一般"
+    by_surface: dict[str, Tags] = {}
+    for surfaces, tags in (
+        (ANALYSER.AUXILIARIES, Tags(t.AUXILIARY, conjugation=final)),
+        (ANALYSER.OTHER_PARTICLES, particle),
+        (ANALYSER.PARTICLES, particle),
+        (ANALYSER.SYMBOLS, symbol),
+        ((*t.CUT_OFF_MARKS, *t.QUOTE_CLOSE, *t.QUOTE_OPEN), symbol),
+        (ANALYSER.COMMAS, Tags(t.SYMBOL, t.COMMA)),
+        (ANALYSER.STOPS, Tags(t.SYMBOL, t.FULL_STOP)),
+        (WHITESPACE_CHARS, Tags(t.BLANK)),
+    ):
+        by_surface |= dict.fromkeys(surfaces, tags)
+
+    def tags_of(surface):
+        if surface in by_surface:
+            return by_surface[surface]
+        if surface[-1] in ANALYSER.CONCLUSIVE_ENDINGS:
+            return Tags(t.VERB, conjugation=final)
+        if surface[-1] in ANALYSER.CONTINUATIVE_ENDINGS:
+            return Tags(t.VERB, conjugation="連用形-一般")
+        if surface[-1] in ANALYSER.ADJECTIVE_ENDINGS:
+            return Tags(t.ADJECTIVE, conjugation=final)
+        return symbol if emoji.match(surface) else Tags("名詞")
+
+    def analyse(text, mode):
+        for surface in patterns[mode].findall(text):
+            yield surface, surface.translate(fold), *tags_of(surface)
+
+    return analyse

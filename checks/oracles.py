@@ -570,3 +570,80 @@ ORDER BY digest DESC, doc_id LIMIT 50""",
     "train_only_file": query(COMPARED, "SELECT surface || chr(9) || t::BIGINT AS line FROM words WHERE v = 0"),
     "comparison_from_files": ORACLES["split_similarity"],
 }
+
+BUILT = (
+    *FILTERED,
+    f"split_clean AS (SELECT clean, {split_of()} AS split FROM flagged WHERE NOT oov)",
+    freq_cte(),
+    LISTED,
+    COLLAPSED,
+    WORDS,
+    f"figures AS ({figures('(SELECT count(*) FROM vocab)')})",
+)
+_REPORT = [
+    "'# Split comparison'", "''", "'## Similarity'",
+    "printf('- Jaccard (vocabulary overlap): %.6f', jaccard)", "printf('- Cosine (mode C counts): %.6f', cosine)",
+    "''", "'## Against the vocabulary'",
+    "printf('- Train Jaccard: %.6f', jaccard_train_vocab)", "printf('- Validation Jaccard: %.6f', jaccard_val_vocab)",
+    "printf('- Train words in the vocabulary: %.2f%%', coverage_train * 100)",
+    "printf('- Validation words in the vocabulary: %.2f%%', coverage_val * 100)",
+    "''", "'## Word counts'",
+    "format('- Either split: {:,}', union_size)", "format('- Both splits: {:,}', shared)",
+    "format('- Train only: {:,}', only_train)", "format('- Validation only: {:,}', only_val)",
+]
+_LISTS = {
+    "Most frequent train words missing from validation": ("t", "v = 0"),
+    "Most frequent validation words missing from train": ("v", "t = 0"),
+    "Most frequent train words unknown to the vocabulary": ("t", "t > 0 AND pt IS NULL"),
+    "Most frequent validation words unknown to the vocabulary": ("v", "v > 0 AND pv IS NULL"),
+}
+
+
+def _file(name: str, split: str, line: str, rest: str) -> str:
+    return f"(SELECT '{name}' AS file, {split} AS split, {line} AS line {rest})"
+
+
+ORACLES |= {
+    "token_frequencies_from_table": ORACLES["token_frequencies"],
+    "corpus_build_with_python_analyser": ORACLES["corpus_build"],
+    "build_outputs": query(
+        BUILT,
+        " UNION ALL ".join(
+            [
+                _file("sentences", "split", "clean", "FROM split_clean"),
+                _file(
+                    "token_frequencies",
+                    "split",
+                    "concat_ws(chr(9), surface, normalized, cnt_a, cnt_b, cnt_c, coalesce(printf('%.2f', percentile), 'x'))",
+                    "FROM listed",
+                ),
+                _file("token_frequencies_header", "''", "concat_ws(chr(9), 'surface', 'normalized', 'count_A', 'count_B', 'count_C', 'percentile')", ""),
+                _file(
+                    "sample_sentences",
+                    "split",
+                    "clean",
+                    "FROM split_clean QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('0:' || clean), clean) <= 100",
+                ),
+                _file("only_train", "''", "surface || chr(9) || t::BIGINT", "FROM words WHERE v = 0"),
+                _file("only_validation", "''", "surface || chr(9) || v::BIGINT", "FROM words WHERE t = 0"),
+                _file("split_report", "''", f"unnest([{', '.join(_REPORT)}])", "FROM figures"),
+                *(
+                    _file("split_report", "''", f"unnest(['', '### {title}'])", "")
+                    + " UNION ALL "
+                    + _file("split_report", "''", f"'  ' || surface || ' (' || {count}::BIGINT || ')'", f"FROM words WHERE {where} ORDER BY {count} DESC, surface LIMIT 50")
+                    for title, (count, where) in _LISTS.items()
+                ),
+                _file("split_report", "''", "unnest(['', '### First vocabulary words missing from the corpus'])", "FROM absent LIMIT 2"),
+                # A listed word may be a line feed.
+                _file("split_report", "''", "unnest(string_split(printf('  %s (%.2f)', word, percentile), chr(10)))", "FROM (FROM absent ORDER BY rank LIMIT 50)"),
+            ]
+        ),
+    ).replace(
+        "figures AS (",
+        """absent AS (SELECT word, rank, percentile FROM vocab
+  WHERE word NOT IN (SELECT surface FROM collapsed WHERE cnt_c > 0)
+    AND word NOT IN (SELECT normalized FROM collapsed WHERE cnt_c > 0)),
+figures AS (""",
+        1,
+    ),
+}

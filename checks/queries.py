@@ -18,21 +18,23 @@ from checks.inputs import (
     NUMBERED_FROM,
     NUMBERED_TO,
     documents,
+    python_script_runs,
     table,
     vocabulary,
 )
+from textmill import __main__ as command
 from textmill.functions import chars, cleaning
 from textmill.operators import compare, dedup, freq, lines, outliers, stats, vocab
 from textmill.operators.extract import extract_sentences, segment_documents
 from textmill.operators.rank import top_n
 from textmill.operators.split import TRAIN, VALIDATION, hash_bucket, with_split
-from textmill.operators.tokens import explode_tokens, with_forms
+from textmill.operators.tokens import PythonAnalyser, explode_tokens, token_table, with_forms
 from textmill.plans import corpus as plans
 from textmill.plans.report import compare_splits
 from textmill.sinks import tables
 from textmill.sources.documents import DocumentSource, take_by_hash, union_sources
 from textmill.sources.frequencies import read_frequencies
-from textmill.sources.vocabulary import read_vocabulary
+from textmill.sources.vocabulary import read_vocabulary, read_vocabulary_table
 from textmill.storage import checkpoint_root, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,6 +369,13 @@ def token_frequencies(spark, sf_dir):
     return freq.token_frequencies(split_distinct(spark, sf_dir), ANALYSER)
 
 
+@query
+def token_frequencies_from_table(spark, sf_dir):
+    """Counts from a staged token table, filled by a Python analyser."""
+    table = stage_table(token_table(split_distinct(spark, sf_dir), PythonAnalyser(python_script_runs)), "tokens")
+    return freq.token_frequencies(table, PythonAnalyser(python_script_runs))
+
+
 @query
 def top_types(spark, sf_dir):
     return freq.top_types(freq.token_frequencies(split_distinct(spark, sf_dir), ANALYSER), 1_000)
@@ -519,6 +528,37 @@ def corpus_build(spark, sf_dir):
     return found.select(*(r6(n).alias(n) if t == "double" else F.col(n) for n, t in found.dtypes))
 
 
+@query
+def corpus_build_with_python_analyser(spark, sf_dir):
+    """The same job with an analyser written in Python, which segments, tags and normalizes."""
+    analyser = PythonAnalyser(python_script_runs)
+    ranked = stage_table(vocabulary(spark, sf_dir), "vocabulary")
+    corpus = plans.build_sentences(documents(spark, sf_dir), ranked, analyser)
+    found = compare_splits(plans.build_frequencies(corpus, ranked, analyser), ranked).figures
+    return found.select(*(r6(n).alias(n) if t == "double" else F.col(n) for n, t in found.dtypes))
+
+
+@query
+def build_outputs(spark, sf_dir):
+    """A whole build by its command line, one collection switched off: every line of the files it writes."""
+    folder = _new_folder(spark)
+    documents(spark, sf_dir).select("text").write.parquet(f"{folder}/documents")
+    vocabulary(spark, sf_dir).write.parquet(f"{folder}/words.parquet")
+    args = command.parse(
+        ["build", "--source", f"documents={folder}/documents", "--source", f"conversations={sf_dir}/conversations.parquet"]
+        + ["--include", "conversations=false", "--vocab", f"{folder}/words.parquet", "--output", f"{folder}/out"]
+    )
+    words = read_vocabulary_table(spark, args.vocab)
+    plans.build_corpus(spark, command.document_sources(args), words, ANALYSER, args.output)
+    names = ("sentences", "token_frequencies", "token_frequencies_header", "sample_sentences", "only_train", "only_validation", "split_report")
+    parts = [spark.read.option("lineSep", "\n").text(f"{args.output}/{name}").withColumn("file", F.lit(name)) for name in names]
+    parts = [p if "split" in p.columns else p.withColumn("split", F.lit("")) for p in parts]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.select("file", "split", F.col("value").alias("line"))
+
+
 @query
 def source_switch(spark, sf_dir):
     """One collection switched off."""

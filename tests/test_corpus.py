@@ -10,6 +10,7 @@ from textmill.__main__ import main
 from textmill.operators import dedup, stats
 from textmill.operators.extract import extract_sentences, rate_sentences
 from textmill.operators.tokens import ScriptRunAnalyser
+from textmill.operators.vocab import flag_unknown_words
 from textmill.plans import corpus as plans
 from textmill.plans.report import compare_files, compare_splits, render_report
 from textmill.sources.documents import DocumentSource
@@ -163,7 +164,7 @@ def test_copies_that_make_up_a_third_of_the_rows(spark, words):
     found = extract_sentences(spark.createDataFrame(rows, "source string, doc_id string, text string"), ANALYSER)
     copies = {r.clean: (r.doc_id, r.copies) for r in dedup.first_copies(found).collect()}
     assert copies["犬が行く。"] == ("00000", 3_000) and len(copies) == 2_001
-    flagged = plans.flag_unknown_words(dedup.distinct_sentences(found), words, ANALYSER, 0).collect()
+    flagged = flag_unknown_words(dedup.distinct_sentences(found), words, ANALYSER, 0).collect()
     known = {"犬が行く。"} | {f"{i}に鳥は走る。" for i in range(200, 209) if i % 3}  # 200 to 208 are listed
     assert len(flagged) == 2_001 and {r.clean for r in flagged if not r.oov} == known
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from textmill.operators import stats, vocab
 from textmill.operators.rank import near_digest_end
 from textmill.operators.tokens import PythonAnalyser, ScriptRunAnalyser, explode_units
+from textmill.plans.corpus import build_frequencies, build_sentences
 
 
 def plan(df) -> str:
@@ -53,3 +54,25 @@ def test_a_unit_in_every_sentence(spark):
     for limit in (0, 1 << 20):
         found = vocab.flag_unknown_words(sentences, words, ScriptRunAnalyser(), limit)
         assert found.filter("oov").count() == 3_000
+
+
+def test_a_build_analyses_each_text_once(spark, tmp_path):
+    """The analyser notes its calls: one per line, and one per sentence and mode, for filter and counts together."""
+    log = str(tmp_path / "calls")
+
+    def factory():
+        def analyse(text, mode):
+            with open(log, "a") as file:
+                file.write(f"{mode}{text}\n")
+            return [(c, c, "動詞" if c != "。" else "補助記号", "句点" if c == "。" else "一般", "終止形") for c in text]
+
+        return analyse
+
+    docs = spark.createDataFrame([("s", "1", "犬がいる。猫がいる。"), ("s", "2", "鳥がいる。")], "source string, doc_id string, text string")
+    words = spark.createDataFrame([(c, i) for i, c in enumerate("犬猫がいる。")], "word string, rank long")
+    corpus = build_sentences(docs, words, PythonAnalyser(factory))
+    counted = build_frequencies(corpus, words, PythonAnalyser(factory))
+    assert {r.surface for r in counted.collect()} == set("犬猫がいる。") and corpus.rejects.count() == 1
+    calls = open(log).read().split()
+    clean = ["犬がいる。", "猫がいる。", "鳥がいる。"]
+    assert sorted(calls) == sorted(["C犬がいる。猫がいる。", "C鳥がいる。", *(m + s for m in "ABC" for s in clean)])

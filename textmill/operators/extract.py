@@ -10,6 +10,7 @@ from textmill.functions.cleaning import clean_sentence
 from textmill.operators.lines import CHUNK_CHARS, explode_chunks, explode_lines
 from textmill.operators.scan import BLOCK
 from textmill.operators.segment import join_pieces, split_sentences, structure_fault
+from textmill.storage import stage_table
 
 MIN_DENSITY = 0.75  # fixed value
 ORDINALS = ("line_no", "chunk_no", "sent_no")
@@ -39,21 +40,24 @@ def segment_documents(
         return _segment_chunks(docs, analyser, limit, chunk_chars)
     # A null text has no lines. A filter would compute the texts of the input twice.
     short = docs.withColumn("text", F.when(F.octet_length("text") <= long_bytes, F.col("text")))
-    long = docs.filter(F.octet_length("text") > long_bytes)
-    return _segment_chunks(short, analyser, None, chunk_chars).unionByName(_segment_pieces(long, analyser, piece_chars))
+    short = _segment_chunks(short, analyser, None, chunk_chars)
+    pieces = stage_table(_pieces(docs.filter(F.octet_length("text") > long_bytes), analyser, piece_chars), "long-lines")
+    return short if pieces.isEmpty() else short.unionByName(_segment_pieces(pieces))
 
 
-def _segment_pieces(docs: DataFrame, analyser, piece_chars: int, block: int = BLOCK) -> DataFrame:
-    """Sentences of long lines. Pieces are dealt to tasks one by one, so no task holds a line's tokens."""
-    keys = ["source", "doc_id", "line_no", "chunk_no", "failed"]
+PIECE_KEYS = ("source", "doc_id", "line_no", "chunk_no", "failed")
+
+
+def _pieces(docs: DataFrame, analyser, piece_chars: int) -> DataFrame:
+    """Long lines as annotated pieces. They are dealt to tasks one by one, so no task holds a line's tokens."""
     pieces = explode_lines(docs).select(
         "source", "doc_id", "line_no", F.posexplode(analyser.pieces(F.col("line"), piece_chars)).alias("piece_no", "chunk")
     )
     pieces = pieces.repartition("source", "doc_id", "line_no", "piece_no")
     found = analyser.annotate(pieces.withColumn("extra", chars.japanese_chars(F.col("chunk")).cast("long")), "chunk")
     failed = F.col("flags").isNull()
-    found = found.select(
-        *keys[:3],
+    return found.select(
+        *PIECE_KEYS[:3],
         F.lit(0).alias("chunk_no"),
         failed.alias("failed"),
         "piece_no",
@@ -61,8 +65,11 @@ def _segment_pieces(docs: DataFrame, analyser, piece_chars: int, block: int = BL
         F.when(failed, F.array(F.lit(0))).otherwise(F.col("flags")).alias("flags"),
         "extra",
     )
-    return join_pieces(found, keys, block).select(
-        *keys[:4],
+
+
+def _segment_pieces(pieces: DataFrame, block: int = BLOCK) -> DataFrame:
+    return join_pieces(pieces, list(PIECE_KEYS), block).select(
+        *PIECE_KEYS[:4],
         "sent_no",
         F.col("text").alias("raw"),
         F.when(F.col("failed"), "analyser_error").otherwise(structure_fault(F.col("text"), F.col("flags"))).alias("fault"),

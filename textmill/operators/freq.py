@@ -15,8 +15,12 @@ def frequency_order():
 
 
 def token_frequencies(sentences: DataFrame, analyser, by=("split",), text_col: str = "clean") -> DataFrame:
-    """Counts per (surface, normalized) in modes A, B and C: one pass, one shuffle, never a missing count."""
-    units = explode_units(sentences.select(*by, text_col), analyser, text_col=text_col)
+    """Counts per (surface, normalized) in modes A, B and C: one pass, one shuffle, never a missing count.
+
+    Sentences that come with their ``tokens`` are not analysed again.
+    """
+    source = "tokens" if "tokens" in sentences.columns else text_col
+    units = explode_units(sentences.select(*by, source), analyser, text_col=text_col)
     counts = [F.count_if(F.col("mode") == mode).alias(f"cnt_{mode.lower()}") for mode in MODES]
     counted = with_forms(units.groupBy(*by, "unit").agg(*counts), analyser)
     return counted.select(*by, "surface", "normalized", "cnt_a", "cnt_b", "cnt_c")

@@ -103,10 +103,9 @@ def join_pieces(pieces: DataFrame, keys: list[str], block: int = BLOCK) -> DataF
     """Sentences of lines that come in pieces, cut between any two tokens: keys, sent_no, text, flags and ``extra``.
 
     ``pieces`` has the keys of the line, piece_no (from 0), surfaces, flags and a number ``extra``, of which a sentence gets
-    the sum over the pieces that begin in it. The result is that of :func:`split_sentences` over whole lines.
+    the sum over the pieces that begin in it. They are read three times, so they should be a written table. The result is that of :func:`split_sentences` over whole lines.
     """
     place, flags = [*keys, "piece_no"], F.col("flags")
-    pieces = stage_table(pieces.select(*place, "surfaces", "flags", "extra"), "pieces")
     quotes = F.filter(flags, lambda f: has(f, Flag.QUOTE_OPEN | Flag.QUOTE_CLOSE))
     last = lambda array: F.get(array, F.size(array) - 1)
     told = pieces.select(*place, last(flags).alias("token"), has(last(quotes), Flag.QUOTE_OPEN).alias("quoted"))

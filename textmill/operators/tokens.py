@@ -327,15 +327,36 @@ def explode_tokens(texts: DataFrame, analyser, mode: str = "C", text_col: str =
     return texts.select(*keep, F.posexplode(tokens).alias("pos", "token")).select(*keep, "pos", "token.*")
 
 
-def explode_units(texts: DataFrame, analyser, modes=MODES, text_col: str = "clean") -> DataFrame:
-    """(mode, unit) of every token in every mode, line breaks flattened; one pass over the texts."""
-    keep = [c for c in texts.columns if c != text_col]
-    text = F.col(text_col)
+def units_of_modes(text: Column, analyser, modes=MODES) -> Column:
+    """Array of (mode, units), line breaks flattened; a Python analyser gets each text once per mode, in one pass."""
     if isinstance(analyser, PythonAnalyser):
-        per_mode = analyser.units_by_mode(text, modes)
-    else:
-        units = [analyser.units(text, mode, flat=True).alias("units") for mode in modes]
-        per_mode = F.array(*(F.struct(F.lit(mode).alias("mode"), u) for mode, u in zip(modes, units)))
+        return analyser.units_by_mode(text, modes)
+    units = [analyser.units(text, mode, flat=True).alias("units") for mode in modes]
+    return F.array(*(F.struct(F.lit(mode).alias("mode"), u) for mode, u in zip(modes, units)))
+
+
+def token_table(sentences: DataFrame, analyser, text_col: str = "clean") -> DataFrame:
+    """``sentences`` with their ``digest`` and ``tokens``, what :func:`units_of_modes` gives.
+
+    To be staged once and read by all that look tokens up or count them.
+    """
+    text = F.col(text_col)
+    return sentences.select("*", F.unhex(F.md5(text)).alias("digest"), units_of_modes(text, analyser).alias("tokens"))
+
+
+def units_of(tokens: Column, mode: str = "C") -> Column:
+    """The units of one mode of a token table."""
+    return F.get(F.filter(tokens, lambda t: t["mode"] == mode), F.lit(0))["units"]
+
+
+def explode_units(texts: DataFrame, analyser, modes=MODES, text_col: str = "clean") -> DataFrame:
+    """(mode, unit) of every token in every mode, line breaks flattened; one pass over the texts.
+
+    Texts that come with their ``tokens`` (:func:`token_table`) are not analysed again.
+    """
+    known = "tokens" in texts.columns
+    keep = [c for c in texts.columns if c not in (text_col, "tokens")]
+    per_mode = F.col("tokens") if known else units_of_modes(F.col(text_col), analyser, modes)
     return texts.select(*keep, F.inline(per_mode)).select(*keep, "mode", F.explode("units").alias("unit"))
 
 
