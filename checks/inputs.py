@@ -17,6 +17,7 @@ from textmill.operators import tokens as t
 from textmill.operators.rank import global_rank
 from textmill.operators.tokens import ScriptRunAnalyser, Tags
 from textmill.sources.documents import DocumentSource, read_documents, spread
+from textmill.storage import stage_table
 
 ANALYSER = ScriptRunAnalyser()
 
@@ -58,7 +59,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = benchmark.unionAll(conversations)
     words = texts.select(F.explode(ANALYSER.surfaces(japanese(F.col("text")), "C")).alias("word"))
     counted = words.groupBy("word").count()
-    ranked = global_rank(counted, [F.desc("count"), F.asc("word")])
+    ranked = global_rank(stage_table(counted, "words"), [F.desc("count"), F.asc("word")])
     return ranked.select("word", (F.col("rank") - 1).alias("rank"))
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 from textmill.functions import cleaning
 
@@ -53,6 +54,14 @@ def test_deep_nesting(evaluate):
     assert evaluate(cleaning.strip_unbalanced_brackets, ["[" * 300 + "犬"]) == ["犬"]
 
 
+def test_very_many_brackets_take_linear_time(evaluate):
+    deep, loose = "（" * 100_000 + "犬" + "）" * 100_000, "[ " * 50_000 + "犬" + " 」" * 50_000
+    start = time.perf_counter()
+    assert evaluate(cleaning.strip_matched_brackets, [deep]) == ["犬"]
+    assert evaluate(cleaning.strip_unbalanced_brackets, [loose, deep + "）"]) == ["犬", deep]
+    assert time.perf_counter() - start < 30  # copying the text per bracket takes many minutes
+
+
 def test_bracket_examples(evaluate):
     assert evaluate(cleaning.strip_matched_brackets, ["（a）b（c）", "[[犬]]"]) == ["a）b（c", "犬"]
     assert evaluate(cleaning.strip_unbalanced_brackets, ["「犬です", "(1)犬です"]) == ["犬です", "(1)犬です"]

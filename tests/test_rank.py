@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from textmill.operators.rank import MAX_MERGED_ROWS, global_rank, top_n
+from textmill.operators import rank
+from textmill.operators.rank import MAX_MERGED_ROWS, at_least_n, global_rank, top_n
 
 def order():
     return [F.desc("n"), F.asc("word")]
@@ -46,3 +47,24 @@ def test_small_lists_are_cut_inside_the_tasks(spark, capsys):
 
 def test_empty(spark):
     assert global_rank(skewed(spark).limit(0), order()).count() == 0
+
+
+@pytest.mark.parametrize("group", [(), ("split",)])
+def test_at_least_n_keeps_the_first_and_ties(spark, group):
+    df = skewed(spark).repartition(5)
+    for n in (1, 40, 2_000, 9_000):
+        rows = df.collect()
+        want = set()
+        for g in {r.split if group else "" for r in rows}:
+            own = sorted((r.n for r in rows if not group or r.split == g), reverse=True)
+            least = own[n - 1] if n <= len(own) else 0
+            want |= {r for r in rows if (not group or r.split == g) and r.n >= least}
+        got = at_least_n(df, "n", n, group)
+        assert set(got.collect()) == want and "Sort" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_offsets_that_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(rank, "MAX_BROADCAST_OFFSETS", 0)
+    got = global_rank(skewed(spark).repartition(4), order(), ["split"])
+    want = skewed(spark).withColumn("rank", F.row_number().over(Window.partitionBy("split").orderBy(*order())).cast("long"))
+    assert got.exceptAll(want).isEmpty() and got.count() == 5_000

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.operators.rank import global_rank
+from textmill.operators.rank import at_least_n, global_rank
 from textmill.operators.tokens import MODES, explode_units, with_forms
+from textmill.storage import stage_table
 
 
 def frequency_order():
@@ -27,9 +28,15 @@ def token_frequencies(sentences: DataFrame, analyser, by=("split",), text_col: s
 
 
 def top_types(freq: DataFrame, n: int | None = None, by=("split",)) -> DataFrame:
-    """The rows of each split with their ``rank``, or the ``n`` most frequent. One shuffle, whatever ``n`` is."""
-    ranked = global_rank(freq, frequency_order(), by)
-    return ranked if n is None else ranked.filter(F.col("rank") <= n)
+    """The rows of each split with their ``rank``, or the ``n`` most frequent.
+
+    The counts are staged, as ranks read them twice: to find the bounds of the ranges, and to sort them. For ``n``, a
+    histogram of mode-C counts says which types can be among them, and only these are sorted.
+    """
+    freq = stage_table(freq, "types")
+    if n is None:
+        return global_rank(freq, frequency_order(), by)
+    return global_rank(at_least_n(freq, "cnt_c", n, by), frequency_order(), by).filter(F.col("rank") <= n)
 
 
 def collapse_surface(freq: DataFrame, by=("split",)) -> DataFrame:

@@ -13,6 +13,8 @@ from textmill.storage import stage_table
 # limit inside the map tasks up to the same bound (spark.sql.optimizer.windowGroupLimitThreshold).
 MAX_MERGED_ROWS = 1_000
 
+MAX_BROADCAST_OFFSETS = 100_000
+
 _MERGE_GROUPS = 1_024
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number within the partition below
@@ -41,8 +43,11 @@ def global_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     offsets = counts.select(
         *by, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset")
     )
+    # Without groups there is a row per partition. Groups may be many, so their rows are counted first.
+    offsets = stage_table(offsets, "offsets") if group else offsets
+    small = not group or offsets.count() <= MAX_BROADCAST_OFFSETS
     return (
-        placed.join(F.broadcast(offsets), by)
+        placed.join(F.broadcast(offsets) if small else offsets, by)
         .withColumn(out, F.col("_offset") + F.col("_row") + 1)
         .drop("_part", "_row", "_offset")
         .select(*df.columns, out)
@@ -62,6 +67,25 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, group: Sequence[str] =
     return _first(merged, order, n, group) if group else merged.orderBy(*order).limit(n)
 
 
+def at_least_n(df: DataFrame, count: str, n: int, group: Sequence[str] = ()) -> DataFrame:
+    """The rows of each group whose ``count`` is no smaller than that of its ``n``-th largest.
+
+    Different counts are few, as their sum is bounded by the total: a trillion tokens have at most 1.4 million. ``df`` is
+    read twice, and its groups must be as few as splits are.
+    """
+    counts = df.groupBy(*group, count).agg(F.count(F.lit(1)).alias("_n"))
+    down = Window.partitionBy(*group).orderBy(F.desc(count))
+    reached = counts.withColumn("_sum", F.sum("_n").over(down)).filter(F.col("_sum") >= n)
+    least = reached.groupBy(*group).agg(F.max(count).alias("_least")).filter(F.col("_least").isNotNull()).collect()
+    below = F.lit(False)
+    for row in least:
+        mine = F.col(count) < row["_least"]
+        for name in group:
+            mine &= F.col(name).eqNullSafe(F.lit(row[name]))
+        below |= mine
+    return df.filter(~below)
+
+
 def near_digest_end(df: DataFrame, n: int, group: Sequence[str] = (), largest: bool = False) -> DataFrame:
     """The rows whose hex ``_digest`` lies in the first (or last) part of the range that holds ``n`` rows per group.
 
