@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill.__main__ import main
-from textmill.operators import dedup, stats
+from textmill.operators import dedup, extract, stats
 from textmill.operators.extract import extract_sentences, rate_sentences
 from textmill.operators.tokens import ScriptRunAnalyser
 from textmill.operators.vocab import flag_unknown_words
@@ -195,3 +195,20 @@ def test_build_options_and_comparison_from_files(spark, docs, words, tmp_path):
     )
     assert "\n".join(r.value for r in spark.read.text(f"{out}3/split_report").collect()) == full
     assert not compare_files(spark, f"{out}2/token_frequencies/split=train", words, f"{out}4")
+
+
+def test_a_build_finds_long_texts(spark, words, tmp_path, monkeypatch):
+    """Lines of texts above the limit go through pieces; the files are those of a build that reads them whole."""
+    long = ["犬が行く。" + f"{i}の猫は走る。「鳥が行く。」" * 40 for i in range(5)]
+    spark.createDataFrame([(str(i), t) for i, t in enumerate([*long, "鳥は泳ぐ！", None])], "doc_id string, text string").write.parquet(f"{tmp_path}/docs")
+    source = DocumentSource("web", f"{tmp_path}/docs", id_cols=("doc_id",))
+    calls, real, cut = [], extract._segment_pieces, extract._pieces
+    monkeypatch.setattr(extract, "_pieces", lambda docs, analyser, _: cut(docs, analyser, 30))
+    monkeypatch.setattr(extract, "_segment_pieces", lambda pieces: calls.append(pieces.count()) or real(pieces))
+    found = []
+    for limit in (plans.LONG_BYTES, 1_000):
+        monkeypatch.setattr(plans, "LONG_BYTES", limit)
+        corpus = plans.build_corpus(spark, [source], words, ANALYSER, f"{tmp_path}/out{limit}")
+        rows = corpus.extracted.select("doc_id", "line_no", "sent_no", "raw", "clean", "status").collect()
+        found.append((set(rows), len(rows), corpus.extracted.agg(F.sum("orig_chars")).first()[0]))
+    assert found[0] == found[1] and len(calls) == 1 and calls[0] >= 10

@@ -58,7 +58,7 @@ def test_a_line_of_megabytes(spark):
         F.lit("s").alias("source"), F.lit("1").alias("doc_id"), F.concat(F.repeat(F.lit("犬が「走る。」行く。"), n // 2), F.repeat(F.lit("「あ。"), 3)).alias("text")
     )
     docs = docs.withColumn("text", F.concat("text", F.lit("」猫が寝た。"), F.repeat(F.lit("鳥が鳴いた。"), n)))
-    found = extract.segment_documents(docs, ScriptRunAnalyser())
+    found = extract.segment_documents(docs, ScriptRunAnalyser(), long_bytes=extract.LONG_BYTES)
     counts = {r["raw"]: r["count"] for r in found.groupBy("raw").count().collect()}
     assert counts == {"犬が「走る。」行く。": n // 2, "「あ。「あ。「あ。」猫が寝た。": 1, "鳥が鳴いた。": n}
     size = docs.select(F.octet_length("text")).first()[0]

@@ -14,7 +14,7 @@ from textmill.storage import stage_table
 
 MIN_DENSITY = 0.75  # fixed value
 ORDINALS = ("line_no", "chunk_no", "sent_no")
-LONG_BYTES = 4 << 20  # lines of longer texts are segmented in pieces
+LONG_BYTES = 4 << 20  # a build that finds longer texts segments their lines in pieces
 PIECE_CHARS = 20_000
 
 
@@ -23,7 +23,7 @@ def segment_documents(
     analyser,
     max_bytes: int | None = None,
     chunk_chars: int = CHUNK_CHARS,
-    long_bytes: int = LONG_BYTES,
+    long_bytes: int | None = None,
     piece_chars: int = PIECE_CHARS,
 ) -> DataFrame:
     """One row per sentence: ``raw``, ``fault`` (first structural rule broken) and ``orig_chars``.
@@ -32,11 +32,11 @@ def segment_documents(
     of whole documents is their count: stripping and splitting only remove whitespace. A chunk the analyser failed on
     is one row with the fault ``analyser_error``. Blank sentences stay, with an empty ``raw``. Lines are cut where they
     exceed ``max_bytes`` or, without it, the analyser's own ``max_line_bytes``; most have none and read whole lines. These,
-    in texts above ``long_bytes``, are segmented in pieces of ``piece_chars`` with the same result, but for ``orig_chars``:
+    in texts above ``long_bytes`` if given (which reads the documents once more at the call), are segmented in pieces of ``piece_chars`` with the same result, but for ``orig_chars``:
     each piece has its own on the sentence it begins in.
     """
     limit = analyser.max_line_bytes if max_bytes is None else max_bytes
-    if limit is not None:
+    if limit is not None or long_bytes is None:
         return _segment_chunks(docs, analyser, limit, chunk_chars)
     # A null text has no lines. A filter would compute the texts of the input twice.
     short = docs.withColumn("text", F.when(F.octet_length("text") <= long_bytes, F.col("text")))

@@ -54,9 +54,13 @@ def document_id(ids: Sequence[Column]) -> Column:
 
 
 def null_documents(spark: SparkSession, sources: Sequence[DocumentSource], smoke: bool = False) -> DataFrame:
-    """(source, n): the documents without text that :func:`union_sources` leaves out."""
+    """(source, n, longest): the documents without text that :func:`union_sources` leaves out, and the bytes of the
+    longest text.
+    """
     docs = reduce(DataFrame.unionByName, (read_documents(spark, s, smoke) for s in sources if s.enabled))
-    return docs.groupBy("source").agg(F.count_if(F.col("text").isNull()).alias("n"))
+    return docs.groupBy("source").agg(
+        F.count_if(F.col("text").isNull()).alias("n"), F.max(F.octet_length("text")).alias("longest")
+    )
 
 
 def union_sources(spark: SparkSession, sources: Sequence[DocumentSource], smoke: bool = False) -> DataFrame:
