@@ -54,6 +54,22 @@ def test_spans_equal_counting(frame, clashing, monkeypatch, most, block):
     assert [got[i] for i in range(len(texts))] == brute(texts)
 
 
+@pytest.mark.parametrize("share", [1, 3, 1 << 40])
+def test_hot_pieces_meet_their_runs_by_broadcast(spark, monkeypatch, share):
+    monkeypatch.setattr(s, "HOT_SHARE", share)
+    key = "anchor long, piece long"
+    places = [(0, 0, t) for t in range(60)] + [(k, k % 3, k) for k in range(1, 40)] + [(0, 1, 7)]
+    runs = [(0, 0, [1, 2]), (5, 2, [3, 4]), (0, 1, [5, 6]), (99, 0, [7, 8])]
+    counts = [(a, b, sum(p[:2] == (a, b) for p in places)) for a, b in sorted({p[:2] for p in places})]
+    joined = s._with_runs(
+        spark.createDataFrame(places, f"{key}, t long"),
+        spark.createDataFrame(runs, f"{key}, runs array<int>"),
+        spark.createDataFrame(counts, f"{key}, n long"),
+    )
+    want = sorted((a, b, t, r) for a, b, t in places for x, y, r in runs if (a, b) == (x, y))
+    assert sorted((r.anchor, r.piece, r.t, r.runs) for r in joined.collect()) == want
+
+
 def test_whole_table_of_documents(spark):
     folder = "/root/testdata/sf0.001"
     if not pathlib.Path(folder).exists():

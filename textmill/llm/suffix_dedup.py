@@ -18,6 +18,7 @@ Every byte covered by a string of ``THRESHOLD`` bytes that also starts anywhere
 
 An anchor with more than ``GROUP_PIECES`` different pieces (a passage in very many texts) has ranges of its windows
 hashed, counted and split by shuffles instead, with combining in the map tasks, so no group is gathered in one task.
+Covered runs of a piece that is at very many places go back to these by broadcast.
 
 Hashes have 64 bits. Copies of a text share its hash and its result; positions are recomputed from texts rather than
 shuffled with them. Texts are shuffled twice: where pieces differ, and to their cuts.
@@ -51,6 +52,7 @@ GROUP_PIECES = 5_000  # of an anchor that meet in a task, 700 bytes each
 BLOCK_BYTES = 1 << 19
 RANGES = (64, 8, 1)  # windows of a range, round by round; each divides the one before
 BROADCAST_ROWS = 1_000_000
+HOT_SHARE = 2_000  # a piece at more than one in so many of all places is hot; fewer than this can be
 _SEGMENT = 1 << 20  # positions whose hashes are looked at together
 FOUND = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -400,6 +402,19 @@ def _some(texts: DataFrame, keys: DataFrame, how: str) -> DataFrame | None:
     return texts.join(F.broadcast(keys), "t", how) if keys.count() <= BROADCAST_ROWS else None
 
 
+def _with_runs(places: DataFrame, runs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``places`` with the ``runs`` of their pieces, inner join. ``pieces`` has the number of places ``n`` of each.
+
+    A task gets the places of whole pieces, so those of hot pieces meet their runs by a broadcast of fewer than
+    ``HOT_SHARE`` rows instead; as their share of all places is what makes them hot, there can't be more at any size.
+    """
+    key = ["anchor", "piece"]
+    total = pieces.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(pieces.filter(F.col("n") * HOT_SHARE > total).select(*key))
+    often = places.join(F.broadcast(runs.join(hot, key, "left_semi")), key)
+    return often.unionByName(places.join(hot, key, "left_anti").join(runs, key))
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(texts with their hash ``t``, per text hash the runs of bytes to remove: ``cuts`` array of start, end, ...)."""
     texts = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
@@ -430,7 +445,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     )
     # Copies of a text have the same anchors, which are looked up once.
     once = placed.select("t", "anchor", "piece", "low", "length").distinct()
-    back = once.join(runs, ["anchor", "piece"])
+    back = _with_runs(once, runs, common)
     whole_run = F.when(F.col("length") >= THRESHOLD, F.array(F.lit(0), F.col("length")))
     whole_run = whole_run.otherwise(F.array().cast("array<int>"))
     each = F.when(F.col("whole") > 0, whole_run).otherwise(F.col("runs"))
