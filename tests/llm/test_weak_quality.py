@@ -26,6 +26,24 @@ def test_em_finds_posteriors_of_made_votes():
     posterior, accuracy = w.fit_labellers(patterns, counts)
     assert (posterior[place].argmax(1) == truth).mean() > 0.95
     assert np.allclose(accuracy.sum(2), 1)
+    # Estimates follow the votes, far from what was believed of them, and more of the same documents change little.
+    assert abs(accuracy[0, 0, w.CLEAN] - 0.9) < 0.02 and abs(accuracy[0, 1, w.JUNK] - 0.6) < 0.05
+    assert abs(accuracy[-1, 2, w.TOXIC] - 0.7) < 0.05
+    posterior, more = w.fit_labellers(patterns, counts * 1_000)
+    assert np.abs(more - accuracy).max() < 0.15 and (posterior[place].argmax(1) == truth).mean() > 0.95
+
+
+def test_a_useless_labeller_loses_its_credit():
+    rng = np.random.default_rng(4)
+    truth = rng.choice(3, 20_000, p=[0.75, 0.15, 0.1])
+    quality = np.where(truth[:, None] == 1, w.JUNK, w.CLEAN) * (rng.random((len(truth), 8)) < 0.85)
+    toxic = w.TOXIC * ((truth[:, None] == 2) & (rng.random((len(truth), 4)) < 0.7))
+    votes = np.concatenate([quality, toxic], axis=1).astype(int)
+    votes[:, 0] = rng.choice([w.CLEAN, w.JUNK], len(truth))  # at random, whatever the class
+    patterns, place, counts = np.unique(w._pack(votes), return_inverse=True, return_counts=True)
+    posterior, accuracy = w.fit_labellers(patterns, counts)
+    assert (posterior[place].argmax(1) == truth).mean() > 0.95
+    assert all(abs(accuracy[0, c, w.JUNK] - 0.5) < 0.05 for c in range(3))
 
 
 def test_classes_of_labelled_documents(spark):

@@ -69,6 +69,7 @@ _PUNCTUATION[65:91] = False
 
 _TOXIC_LABELLERS = 4
 _PRIOR = (0.8, 0.12, 0.08)
+BELIEF_DOCS = 100  # what a belief weighs against the documents, at any number of these
 # By class, how likely each vote is believed to be: abstain, clean, junk, toxic.
 _BELIEF = {
     "quality": np.array([[0.15, 0.82, 0.02, 0.01], [0.2, 0.44, 0.35, 0.01], [0.15, 0.82, 0.02, 0.01]]),
@@ -168,8 +169,8 @@ def unpack(patterns: np.ndarray) -> np.ndarray:
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(posterior of each pattern, probability of each vote by labeller and class) by expectation-maximisation.
 
-    Labellers are taken to be better than chance: ``_BELIEF``, what a vote is believed to mean, counts as much as all
-    documents together, and estimates move away from it as far as the patterns say. It starts from that belief.
+    Labellers are taken to be better than chance: ``_BELIEF``, what a vote is believed to mean, is where it starts and
+    counts as much as ``BELIEF_DOCS`` documents of each class, so with more documents the estimates follow these.
     """
     votes = unpack(patterns)
     one = votes[:, :, None] == np.arange(4)
@@ -182,7 +183,7 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROU
         posterior /= posterior.sum(1, keepdims=True)
         weight = posterior * counts[:, None]
         prior = weight.sum(0) + 1
-        accuracy = np.einsum("pc,plv->lcv", weight, one) + belief * weight.sum(0)[None, :, None] + belief
+        accuracy = np.einsum("pc,plv->lcv", weight, one) + belief * BELIEF_DOCS
         accuracy /= accuracy.sum(2, keepdims=True)
     return posterior, accuracy
 
