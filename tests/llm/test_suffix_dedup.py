@@ -54,8 +54,8 @@ def test_spans_equal_counting(frame, clashing, monkeypatch, most, block):
     assert [got[i] for i in range(len(texts))] == brute(texts)
 
 
-@pytest.mark.parametrize("share", [1, 3, 1 << 40])
-def test_hot_pieces_meet_their_runs_by_broadcast(spark, monkeypatch, share):
+@pytest.mark.parametrize("share", [1, 3, 500])
+def test_places_of_hot_pieces_are_dealt_to_tasks(spark, monkeypatch, share):
     monkeypatch.setattr(s, "HOT_SHARE", share)
     key = "anchor long, piece long"
     places = [(0, 0, t) for t in range(60)] + [(k, k % 3, k) for k in range(1, 40)] + [(0, 1, 7)]

@@ -18,7 +18,7 @@ Every byte covered by a string of ``THRESHOLD`` bytes that also starts anywhere
 
 An anchor with more than ``GROUP_PIECES`` different pieces (a passage in very many texts) has ranges of its windows
 hashed, counted and split by shuffles instead, with combining in the map tasks, so no group is gathered in one task.
-Covered runs of a piece that is at very many places go back to these by broadcast.
+The places of a piece that is at very many are dealt to several tasks when they get its covered runs.
 
 Hashes have 64 bits. Copies of a text share its hash and its result; positions are recomputed from texts rather than
 shuffled with them. Texts are shuffled twice: where pieces differ, and to their cuts.
@@ -405,14 +405,19 @@ def _some(texts: DataFrame, keys: DataFrame, how: str) -> DataFrame | None:
 def _with_runs(places: DataFrame, runs: DataFrame, pieces: DataFrame) -> DataFrame:
     """``places`` with the ``runs`` of their pieces, inner join. ``pieces`` has the number of places ``n`` of each.
 
-    A task gets the places of whole pieces, so those of hot pieces meet their runs by a broadcast of fewer than
-    ``HOT_SHARE`` rows instead; as their share of all places is what makes them hot, there can't be more at any size.
+    The places of a hot piece are dealt to so many tasks that none gets more than one in ``HOT_SHARE`` of all places,
+    and its runs are repeated as often. Hot pieces are fewer than ``HOT_SHARE`` and their runs are repeated less than
+    twice that often in all, at any size.
     """
     key = ["anchor", "piece"]
-    total = pieces.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(pieces.filter(F.col("n") * HOT_SHARE > total).select(*key))
-    often = places.join(F.broadcast(runs.join(hot, key, "left_semi")), key)
-    return often.unionByName(places.join(hot, key, "left_anti").join(runs, key))
+    total = max(pieces.agg(F.sum("n")).first()[0] or 0, 1)
+    share = F.least("n", F.ceil(F.col("n") * HOT_SHARE / total)).alias("_tasks")
+    hot = F.broadcast(pieces.filter(F.col("n") * HOT_SHARE > total).select(*key, share))
+    tasks = F.coalesce("_tasks", F.lit(1).cast("long"))
+    places = places.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64("t"), tasks)).drop("_tasks")
+    dealt = F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1))
+    runs = runs.join(hot, key, "left").withColumn("_salt", dealt).drop("_tasks")
+    return places.join(runs, [*key, "_salt"]).drop("_salt")
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
