@@ -1,5 +1,7 @@
 """Personal data: patterns against the plain regular expressions, the tagger on held-out and made examples."""
 
+import collections
+import hashlib
 import random
 import re
 
@@ -7,6 +9,7 @@ import numpy as np
 import pytest
 
 from textmill.llm import pii, tagger
+from textmill.llm.queries import QUERIES
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -107,3 +110,20 @@ def test_very_long_runs_of_digits():
 def test_windows_with_spelled_out_signs_are_decoded():
     assert pii._window_starts("write to jane [at] example [dot] com") == [0]
     assert pii._window_starts("\uff10\uff11\uff12") == [0] and pii._window_starts("at the dot") == []
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    """The registered query against the plain regular expressions: every exact column."""
+    texts = ["mail a@b.co or x.y@z.example.org", "1.2.3.4 and 5.6.7.8 and 999.1.1.1", "4111 1111 1111 1111"]
+    texts += ["call +1 (319) 555-5132", "😀 a@b.co, 1.2.3.4, 4111-1111-1111-1111, +1 (319) 555-5132", "no such thing", "", None]
+    rows = [*enumerate(texts), (None, texts[4]), (1, texts[1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def want(text):
+        spans = plain(text or "")
+        counts = [sum(s[0] == kind for s in spans) for kind in ("email", "ip", "card", "phone")]
+        return *counts, hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in spans).encode()).hexdigest()
+
+    got = QUERIES["op9_pii"](spark, str(tmp_path)).drop("spans").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((i, *want(text)) for i, text in rows)
+    assert want(texts[4])[:4] == (1, 1, 1, 1)
