@@ -127,3 +127,51 @@ def test_query_counts_each_kind(spark, tmp_path):
     got = QUERIES["op9_pii"](spark, str(tmp_path)).drop("spans").collect()
     assert collections.Counter(map(tuple, got)) == collections.Counter((i, *want(text)) for i, text in rows)
     assert want(texts[4])[:4] == (1, 1, 1, 1)
+
+
+def by_all_windows(model, text, sure):
+    """Spans by decoding every window and reading the labels one by one."""
+    size, half = len(text), pii.WINDOW // 2
+    starts = [0]
+    while starts[-1] + pii.WINDOW < size:
+        starts.append(starts[-1] + half)
+    rows = np.zeros((len(starts), pii.WINDOW), np.int64)
+    for row, start in zip(rows, starts):
+        part = pii.symbols(text)[start : start + pii.WINDOW]
+        row[: len(part)] = part
+    labels, trust = tagger.decode(model, rows)
+    middle = lambda place, k: min(place - starts[k] if k else size, starts[k] + pii.WINDOW - 1 - place if k + 1 < len(starts) else size)
+    out, now = [], None
+    for place in [*range(size), None]:
+        label = 0
+        if place is not None:
+            k = max((k for k in range(len(starts)) if starts[k] <= place < starts[k] + pii.WINDOW), key=lambda k: (middle(place, k), k))
+            label, sureness = int(labels[k, place - starts[k]]), float(trust[k, place - starts[k]])
+        kind = (label + 1) // 2
+        if now and (kind != now[0] or label % 2 == 1):
+            out.append(now)
+            now = None
+        if label % 2 == 1:
+            now = [kind, place, place, 1.0]
+        if now:
+            now[2], now[3] = place + 1, min(now[3], sureness)
+    marks = [m.start() for m in pii._MARK.finditer(text)]
+    return [(pii.KINDS[k - 1], a, z) for k, a, z, worst in out if worst >= sure and any(a <= m < z for m in marks)]
+
+
+def test_marked_windows_give_what_all_windows_give():
+    """Also for spans that reach beyond the windows of their marks."""
+    rng = random.Random(3)
+    eager = tagger.new_parameters(pii._N_SYMBOLS, pii._N_LABELS, pii._WIDTH, pii._HIDDEN, 2)
+    for begin in range(1, 9, 2):  # spans begin seldom and end seldom
+        eager["move"][begin : begin + 2, begin + 1] = 4
+        eager["move"][begin : begin + 2, 0] = 1.5
+    eager["start"][2::2] = eager["move"][0, 2::2] = -9
+    eager["move"][0, 0] = 2.5
+    longest = 0
+    for size in [*range(0, 200, 13), *rng.choices(range(1500), k=25)]:
+        text = "".join(rng.choices("abc xyz.-()@123", [20, 20, 20, 20, 5, 5, 5, 1, 1, 1, 1, 0.05, 0.05, 0.05, 0.05], k=size))
+        want = by_all_windows(eager, text, 0.05)
+        assert pii.added_spans(eager, [text], 0.05) == [want], text
+        longest = max([longest, *(z - a for _, a, z in want)])
+    assert longest > 2 * pii.WINDOW

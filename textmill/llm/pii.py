@@ -5,9 +5,11 @@ transitions, trained on the driver in numpy, adds spans the patterns miss (a pho
 labelled spans are what the patterns find in at most ``TRAIN_ROWS`` windows of the documents, the ones with the smallest
 hashes, and ``TRAIN_MADE`` made examples of forms the patterns don't cover, with look-alikes that are none.
 
-A text is cut into windows that overlap by half. Every span of these kinds has a digit or an at sign, so only windows
-with one are decoded. Each character takes its label from the window in which it is farthest from an edge, labels are
-joined to spans over the whole text, and a span counts if the tagger is sure of all of it and no pattern touches it.
+A text is cut into windows that overlap by half. Each character takes its label from the window in which it is farthest
+from an edge, labels are joined to spans over the whole text, and a span counts if it holds a mark (a digit, an at sign
+or one spelled out), the tagger is sure of all of it and no pattern touches it. Marks are looked for in the whole text.
+Windows are decoded where a mark is and from there on as far as a span goes, so a span has any length; the result is
+that of decoding all windows.
 
 The documents are not shuffled; the model (some 20 kB) is broadcast.
 
@@ -46,7 +48,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
-_MARK = re.compile(r"[\d@]|[\[({]\s?(?:at|dot)\s?[\])}]")  # digits of any script, and spelled-out signs
+_MARK = re.compile(r"[\d@\uFF20\uFE6B]|[\[({]\s?(?i:at|dot)\s?[\])}]")  # digits and at signs of any script, and spelled-out signs
 
 Span = tuple[str, int, int]
 
@@ -192,50 +194,83 @@ def fit(texts: DataFrame, rows: int = TRAIN_ROWS, made: int = TRAIN_MADE, epochs
     return tagger.train(x, y, (_N_SYMBOLS, _N_LABELS, _WIDTH, _HIDDEN), epochs, seed=SEED)
 
 
-def _window_starts(text: str) -> list[int]:
-    """Starts, on a grid of half a window, of the windows that hold a digit, an at sign or one spelled out."""
-    half, starts = WINDOW // 2, set()
-    for m in _MARK.finditer(text):
-        cell = m.start() // half
-        starts.update((max(cell - 1, 0) * half, cell * half))
-    return sorted(starts)
+_HALF, _QUARTER = WINDOW // 2, WINDOW // 4
+
+
+def _last_window(size: int) -> int:
+    """Windows of a text begin at 0, half a window, ...; the last is the first that reaches its end."""
+    return max(-((WINDOW - size) // _HALF), 0)
+
+
+def _window_of(place: int, size: int) -> int:
+    """The window in which ``place`` is farthest from an edge; edges of the text are none."""
+    return min(max((place - _QUARTER) // _HALF, 0), _last_window(size))
+
+
+def _decide(model: tagger.Parameters, ids: dict[int, np.ndarray], jobs: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each window (text, number) the labels of the places it decides and their marginal probabilities."""
+    for low in range(0, len(jobs), 1024):
+        part = jobs[low : low + 1024]
+        rows = np.zeros((len(part), WINDOW), np.int64)
+        for row, (i, k) in zip(rows, part):
+            window = ids[i][k * _HALF : k * _HALF + WINDOW]
+            row[: len(window)] = window
+        for (i, k), labels, trust in zip(part, *tagger.decode(model, rows)):
+            size = len(ids[i])
+            own = slice(_QUARTER if k else 0, size - k * _HALF if k == _last_window(size) else WINDOW - _QUARTER)
+            yield labels[own].astype(np.uint8), trust[own].astype(np.float32)
+
+
+Decided = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _read_labels(decided: Decided, marks: np.ndarray, size: int, sure: float) -> tuple[list[Span], set[int]]:
+    """Spans that hold a mark, by the windows decided so far, and the windows that may change them."""
+    spans, missing = [], set()
+    numbers = sorted(decided)
+    for first in (k for k in numbers if k - 1 not in decided):
+        stop = first
+        while stop in decided:
+            stop += 1
+        labels, trust = (np.concatenate(x) for x in zip(*(decided[k] for k in range(first, stop))))
+        base = first * _HALF + _QUARTER if first else 0
+        kinds = (labels + 1) // 2  # 0 is none
+        cuts = np.flatnonzero((kinds[1:] != kinds[:-1]) | (labels[1:] % 2 == 1)) + 1
+        edges = np.concatenate([[0], cuts, [len(labels)]])
+        for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            held = np.searchsorted(marks, base + end) > np.searchsorted(marks, base + begin)
+            if not kinds[begin] or not held or trust[begin:end].min() < sure:
+                continue
+            begun = labels[begin] % 2 == 1
+            if not begun and (begin or not first):
+                continue  # the inside of nothing
+            if not begun:
+                missing.add(first - 1)
+            if end == len(labels) and base + end < size:
+                missing.add(stop)
+            spans.append((KINDS[kinds[begin] - 1], base + begin, base + end))
+    return spans, missing
 
 
 def added_spans(model: tagger.Parameters, texts: list[str], sure: float = SURE) -> list[list[Span]]:
-    """What the tagger finds in each text, from overlapping windows."""
+    """What the tagger finds in each text: spans that hold a mark, as if all its windows were decided.
+
+    The windows of the marks are decided first, then, as long as there are any, the windows into which such a span may
+    reach; the others hold no part of one.
+    """
     out: list[list[Span]] = [[] for _ in texts]
-    jobs = [(i, start) for i, text in enumerate(texts) for start in _window_starts(text)]
-    if not jobs:
-        return out
-    ids = {i: symbols(texts[i]) for i in {i for i, _ in jobs}}
-    rows = np.zeros((len(jobs), WINDOW), np.int64)
-    for k, (i, start) in enumerate(jobs):
-        part = ids[i][start : start + WINDOW]
-        rows[k, : len(part)] = part
-    decoded = [tagger.decode(model, rows[k : k + 1024]) for k in range(0, len(rows), 1024)]
-    labels = np.concatenate([d[0] for d in decoded])
-    trust = np.concatenate([d[1] for d in decoded])
-    quarter = WINDOW // 4
-    places: dict[int, dict[int, tuple[int, float]]] = {}
-    for k, (i, start) in enumerate(jobs):
-        low = 0 if start == 0 else quarter
-        high = WINDOW if start + WINDOW >= len(ids[i]) else WINDOW - quarter
-        mine = places.setdefault(i, {})
-        for t in np.flatnonzero(labels[k, low:high]) + low:
-            if start + t < len(ids[i]):
-                mine[start + int(t)] = (int(labels[k, t]), float(trust[k, t]))
-    for i, labelled in places.items():
-        open_kind, begin, worst, last = "", 0, 1.0, -2
-        for place in [*sorted(labelled), -1]:
-            label, trusted = labelled.get(place, (0, 0.0))
-            kind = KINDS[(label - 1) // 2] if label else ""
-            if open_kind and (kind != open_kind or label % 2 == 1 or place != last + 1):
-                if worst >= sure:
-                    out[i].append((open_kind, begin, last + 1))
-                open_kind = ""
-            if kind and not open_kind and label % 2 == 1:
-                open_kind, begin, worst = kind, place, 1.0
-            worst, last = min(worst, trusted), place
+    marks = {i: np.array([m.start() for m in _MARK.finditer(text)]) for i, text in enumerate(texts)}
+    marks = {i: places for i, places in marks.items() if len(places)}
+    ids = {i: symbols(texts[i]) for i in marks}
+    decided: dict[int, Decided] = {i: {} for i in marks}
+    jobs = [(i, k) for i, places in marks.items() for k in sorted({_window_of(p, len(ids[i])) for p in places.tolist()})]
+    while jobs:
+        for (i, k), labels in zip(jobs, _decide(model, ids, jobs)):
+            decided[i][k] = labels
+        changed, jobs = dict.fromkeys(i for i, _ in jobs), []
+        for i in changed:
+            out[i], missing = _read_labels(decided[i], marks[i], len(ids[i]), sure)
+            jobs += [(i, k) for k in sorted(missing)]
     return out
 
 
