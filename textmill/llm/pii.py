@@ -207,6 +207,11 @@ def _window_of(place: int, size: int) -> int:
     return min(max((place - _QUARTER) // _HALF, 0), _last_window(size))
 
 
+def _window_starts(text: str) -> list[int]:
+    """Starts of the windows that decide the places of marks."""
+    return sorted({_window_of(m.start(), len(text)) * _HALF for m in _MARK.finditer(text)})
+
+
 def _decide(model: tagger.Parameters, ids: dict[int, np.ndarray], jobs: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each window (text, number) the labels of the places it decides and their marginal probabilities."""
     for low in range(0, len(jobs), 1024):
@@ -263,7 +268,7 @@ def added_spans(model: tagger.Parameters, texts: list[str], sure: float = SURE)
     marks = {i: places for i, places in marks.items() if len(places)}
     ids = {i: symbols(texts[i]) for i in marks}
     decided: dict[int, Decided] = {i: {} for i in marks}
-    jobs = [(i, k) for i, places in marks.items() for k in sorted({_window_of(p, len(ids[i])) for p in places.tolist()})]
+    jobs = [(i, start // _HALF) for i in marks for start in _window_starts(texts[i])]
     while jobs:
         for (i, k), labels in zip(jobs, _decide(model, ids, jobs)):
             decided[i][k] = labels
