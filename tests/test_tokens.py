@@ -1,6 +1,8 @@
+from itertools import product
+
 from pyspark.sql import functions as F
 
-from textmill.operators import lines
+from textmill.operators import lines, segment
 from textmill.operators.extract import extract_sentences, segment_documents
 from textmill.operators.tokens import (
     PythonAnalyser,
@@ -93,3 +95,16 @@ def test_lines(spark):
     docs = spark.createDataFrame([("s", "1", text), ("s", "2", None)], "source string, doc_id string, text string")
     got = [(r.line_no, r.line) for r in lines.explode_lines(docs).collect()]
     assert got == [(0, "犬"), (3, "猫")]
+
+
+def test_sentences_by_pattern_are_those_of_the_tokens(spark):
+    analyser = ScriptRunAnalyser()
+    parts = ["に", "犬に", "た", "犬た", "行く", "が", "。", "、", "「", "」", "🧡", " ", "・", "X", "[[", "（"]
+    texts = ["".join(p) for p in product(parts, repeat=3)] + [TEXT, "行く「犬。」行く」猫が", "が" * 50_000 + "行く、" * 50_000]
+    lines_ = spark.createDataFrame([("s", str(i), 0, 0, v) for i, v in enumerate(texts)], "source string, doc_id string, line_no int, chunk_no int, chunk string")
+    found = lines_.select("doc_id", F.posexplode(analyser.sentences(F.col("chunk"))).alias("sent_no", "sentence"))
+    found = found.select("doc_id", "sent_no", F.btrim("sentence").alias("text"), analyser.structure_fault(F.col("sentence")).alias("fault"))
+    tokens = segment.split_sentences(analyser.annotate(lines_, "chunk").drop("chunk"))
+    fault = segment.structure_fault(F.col("text"), F.col("flags"))
+    expected = tokens.select("doc_id", "sent_no", F.btrim("text").alias("text"), fault.alias("fault"))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
