@@ -108,3 +108,30 @@ def test_sentences_by_pattern_are_those_of_the_tokens(spark):
     fault = segment.structure_fault(F.col("text"), F.col("flags"))
     expected = tokens.select("doc_id", "sent_no", F.btrim("text").alias("text"), fault.alias("fault"))
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_python_analyser_flags_each_surface_once_and_keeps_null_texts(spark):
+    def factory():
+        def analyse(text, mode):
+            if text == "bad":
+                raise ValueError(text)
+            return [(w, None if w == "-" else w.upper(), "動詞", "一般", "終止形") for w in text.split(" ")]
+
+        return analyse
+
+    analyser = PythonAnalyser(factory)
+    rows = [(0, "a b\u2028c a"), (1, None), (2, "-")]
+    texts = spark.createDataFrame(rows, "i int, chunk string").coalesce(1)
+    by_mode = analyser.units_by_mode(F.col("chunk"), ("A", "C"))
+    found = {r.i: r.u for r in texts.select("i", by_mode.alias("u")).collect()}
+    assert found[1] is None and [m.mode for m in found[0]] == ["A", "C"]
+    assert [tuple(u) for u in found[0][1].units] == [("a", "A"), ("b c", "B C"), ("a", "A")]
+    assert [tuple(u) for u in found[2][0].units] == [("-", None)]
+    bad = texts.unionAll(spark.createDataFrame([(3, "bad")], "i int, chunk string")).coalesce(1)
+    flagged = {r.i: (r.surfaces, r.flags) for r in analyser.annotate(bad, "chunk").collect()}
+    flag = rule_flags("a", Tags("動詞", "一般", "終止形"))
+    assert flagged[0] == (["a", "b\u2028c", "a"], [flag] * 3) and flagged[1] == flagged[3] == (None, None)
+    from textmill.operators.tokens import _flags_of
+
+    _flags_of.cache_clear()
+    assert [_flags_of("a", "動詞", "一般", "終止形") for _ in range(3)] == [flag] * 3 and _flags_of.cache_info().misses == 1
