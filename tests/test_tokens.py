@@ -2,7 +2,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from textmill.operators import lines, segment
+from textmill.operators import lines, outliers, segment
 from textmill.operators.extract import extract_sentences, segment_documents
 from textmill.operators.tokens import (
     PythonAnalyser,
@@ -110,6 +110,14 @@ def test_sentences_by_pattern_are_those_of_the_tokens(spark):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
 
 
+def test_a_filter_on_forms_stays_above_the_counts(spark):
+    texts = spark.createDataFrame([("train", "カタカナ 行く")], "split string, clean string")
+    units = explode_units(texts, ScriptRunAnalyser()).groupBy("split", "unit").agg(F.count(F.lit(1)).alias("cnt_c"))
+    counts = with_forms(units, ScriptRunAnalyser()).withColumn("percentile", F.lit(1.0))
+    plan = outliers.eligible(counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Aggregate") and "translate" not in plan[plan.index("Aggregate") :].split("Generate explode")[0]
+
+
 def test_python_analyser_flags_each_surface_once_and_keeps_null_texts(spark):
     def factory():
         def analyse(text, mode):
