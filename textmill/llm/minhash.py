@@ -73,6 +73,14 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.
     return shingles[fresh], np.searchsorted(row[fresh], np.arange(len(counts) + 1))
 
 
+def sliced_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` of many texts, slice by slice: arrays of their bytes don't grow with the number of texts."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    parts = [shingle_sets(part.column("text"), size) for part in at.slices([batch], "text")]
+    sizes = np.concatenate([np.zeros(1, np.int64), *(np.diff(offsets) for _, offsets in parts)])
+    return np.concatenate([np.zeros(0, np.uint64), *(sets for sets, _ in parts)]), np.cumsum(sizes)
+
+
 def _signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Minima of all hash functions for the rows that begin at ``starts``."""
     high = (sets >> np.uint64(32)).astype(np.uint32)
@@ -166,17 +174,17 @@ def common_counts(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def forest(ids: np.ndarray, texts: pa.Array, percent: int, shingle: int = SHINGLE) -> list[tuple[int, int]]:
     """Links between some rows, enough to connect all that similar rows connect."""
-    sets, offsets = shingle_sets(texts, shingle)
+    sets, offsets = sliced_sets(texts, shingle)
     sizes = np.diff(offsets)
     common = common_counts(sets, offsets)
-    similar = (common > 0) & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common))
     links, seen = [], np.zeros(len(ids), bool)
     for start in range(len(ids)):
         queue = [] if seen[start] else [start]
         seen[start] = True
         while queue:
             k = queue.pop()
-            fresh = np.flatnonzero(similar[k] & ~seen)
+            similar = (common[k] > 0) & (100 * common[k].astype(np.float64) >= percent * (sizes[k] + sizes - common[k]))
+            fresh = np.flatnonzero(similar & ~seen)
             seen[fresh] = True
             queue += fresh.tolist()
             links += [(int(ids[k]), int(ids[j])) for j in fresh]
