@@ -1,6 +1,8 @@
 import random
 import time
 
+from pyspark.sql import functions as F
+
 from textmill.functions import cleaning
 
 PAIRS = cleaning.BRACKET_PAIRS
@@ -86,3 +88,9 @@ def test_chain(evaluate):
         "：2) 「猫 だ」 ": "猫だ",
     }
     assert dict(zip(cases, evaluate(cleaning.clean_sentence, list(cases)))) == cases
+
+
+def test_texts_with_plain_edges_skip_code_that_is_not_compiled(spark):
+    """Inside a lambda Spark interprets every step, so the texts that need no cleaning stay outside."""
+    steps = str(cleaning.clean_sentence(F.col("text")))
+    assert steps.index("CASE WHEN") < steps.index("transform(")

@@ -143,3 +143,17 @@ def test_python_analyser_flags_each_surface_once_and_keeps_null_texts(spark):
 
     _flags_of.cache_clear()
     assert [_flags_of("a", "動詞", "一般", "終止形") for _ in range(3)] == [flag] * 3 and _flags_of.cache_info().misses == 1
+
+
+def test_structure_rules_behind_trailing_marks_and_emoji(spark):
+    """The last word is found from the end; a search through the sentence for it is left to those that end in emoji."""
+    words = ("行が", "が", "犬に", "行き", "行く", "す。が", "ダに", "き", "行くは")
+    tails = ("", "。", "」 ", "🧡", "。🧡", "🧡。", "⭐（a", "・", "、", "😀")
+    texts = ["".join(t) for t in product(("行く、", ""), words, tails)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    flagged = ScriptRunAnalyser().annotate(df, "text")
+    by_tokens = segment.structure_fault(F.col("text"), F.col("flags"))
+    found = flagged.select("text", by_tokens.alias("want"), ScriptRunAnalyser().structure_fault(F.col("text")).alias("got"))
+    rows = found.collect()
+    assert {r.text: r.got for r in rows} == {r.text: r.want for r in rows}
+    assert {"ends_particle", "ends_continuative", "no_predicate", None} <= {r.got for r in rows}

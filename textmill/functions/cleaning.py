@@ -131,13 +131,13 @@ def strip_list_number(text: Column) -> Column:
 def clean_sentence(text: Column) -> Column:
     """The whole chain. List numbers go twice, as removing brackets may uncover one.
 
-    All but the last step look at the edges, so a text whose first and last character none of them takes skips them.
+    All but the last step look at the edges, so a text whose first and last character none of them takes skips them. It
+    skips ``let`` as well, which Spark doesn't compile, so ``text`` should be a column, as it is read several times.
     """
 
     def chain(t):
-        edges = F.concat(F.left(t, F.lit(1)), F.right(t, F.lit(1)))
         done = strip_list_number(strip_leading_marks(t))
-        done = strip_list_number(strip_unbalanced_brackets(strip_matched_brackets(done)))
-        return F.when(edges.rlike(f"[{_EDGE}{LEADING_MARKS}{DIGIT}]"), done).otherwise(t)
+        return strip_list_number(strip_unbalanced_brackets(strip_matched_brackets(done)))
 
-    return remove_whitespace(let(text, chain))
+    edges = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return remove_whitespace(F.when(edges.rlike(f"[{_EDGE}{LEADING_MARKS}{DIGIT}]"), let(text, chain)).otherwise(text))
