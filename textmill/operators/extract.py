@@ -81,20 +81,19 @@ def _segment_pieces(pieces: DataFrame, block: int = BLOCK) -> DataFrame:
 def _segment_chunks(docs: DataFrame, analyser, max_bytes: int | None, chunk_chars: int) -> DataFrame:
     chunk = F.col("chunk")
     chunks = explode_chunks(docs, max_bytes, chunk_chars)
-    chunks = chunks.withColumn("_chunk_chars", chars.japanese_chars(chunk).cast("long"))
-    if hasattr(analyser, "sentences"):  # an analyser that finds them without an array of tokens
-        sentence, number = F.col("sentence"), F.col("sent_no")
-        found = chunks.select("*", F.posexplode(analyser.sentences(chunk)).alias("sent_no", "sentence"))
+    if hasattr(analyser, "segments"):  # an analyser that finds them without an array of tokens
+        found = chunks.select("*", F.posexplode(analyser.segments(chunk)).alias("sent_no", "segment"))
         return found.select(
             "source",
             "doc_id",
             "line_no",
             "chunk_no",
             "sent_no",
-            strip(sentence).alias("raw"),
-            analyser.structure_fault(sentence).alias("fault"),
-            F.when(number == 0, F.col("_chunk_chars")).otherwise(F.lit(0)).alias("orig_chars"),
+            strip(F.col("segment.sentence")).alias("raw"),
+            F.col("segment.fault").alias("fault"),
+            F.col("segment.japanese").alias("orig_chars"),
         )
+    chunks = chunks.withColumn("_chunk_chars", chars.japanese_chars(chunk).cast("long"))
     analysed = (
         analyser.annotate(chunks, "chunk")
         .withColumn("_failed", F.when(F.col("flags").isNull(), chunk))
