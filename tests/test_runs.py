@@ -64,3 +64,16 @@ def test_counted_characters_are_those_of_the_column_function(evaluate):
     got = evaluate(lambda t: F.aggregate(ScriptRunAnalyser().segments(t), F.lit(0).cast("long"), lambda a, s: a + s["japanese"]), TEXTS)
     assert got == [n if n is None else int(n) for n in evaluate(chars.japanese_chars, TEXTS)]
     assert np.sum([n or 0 for n in got]) > 0
+
+
+def test_density_and_units_are_those_of_the_column_functions(spark):
+    texts = TEXTS + ["・・。１", "行 く\r\nab", "ＡｂｃカＸ12１二十", "ｱｲ 犬"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    text, analyser = F.col("text"), ScriptRunAnalyser()
+    pairs = [(runs.density(text), chars.density(text))]
+    pairs += [(analyser.units(text, mode), analyser.surfaces(text, mode)) for mode in "ABC"]
+    flat = F.transform(analyser.surfaces(text, "C"), chars.flatten_line_breaks)
+    pairs.append((analyser.units(text, "C", flat=True), flat))
+    for got, want in pairs:
+        assert [r.got for r in df.select(got.alias("got")).collect()] == [r.want for r in df.select(want.alias("want")).collect()]
+    assert "regexp_extract_all" not in df.select(analyser.units(text, "A"))._jdf.queryExecution().optimizedPlan().toString()
