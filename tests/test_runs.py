@@ -71,9 +71,8 @@ def test_density_and_units_are_those_of_the_column_functions(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
     text, analyser = F.col("text"), ScriptRunAnalyser()
     pairs = [(runs.density(text), chars.density(text))]
-    pairs += [(analyser.units(text, mode), analyser.surfaces(text, mode)) for mode in "ABC"]
-    flat = F.transform(analyser.surfaces(text, "C"), chars.flatten_line_breaks)
-    pairs.append((analyser.units(text, "C", flat=True), flat))
+    flat = lambda mode: F.transform(analyser.surfaces(text, mode), chars.flatten_line_breaks)
+    pairs += [(analyser.units(text, mode, flat=True), flat(mode)) for mode in "ABC"]
     for got, want in pairs:
         assert [r.got for r in df.select(got.alias("got")).collect()] == [r.want for r in df.select(want.alias("want")).collect()]
-    assert "regexp_extract_all" not in df.select(analyser.units(text, "A"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in df.select(analyser.units(text, "A", flat=True))._jdf.queryExecution().optimizedPlan().toString()
