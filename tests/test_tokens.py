@@ -2,6 +2,8 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
+from checks.inputs import python_script_runs
+from checks.queries import QUERIES
 from textmill.operators import lines, outliers, segment
 from textmill.operators.extract import extract_sentences, segment_documents
 from textmill.operators.tokens import (
@@ -157,3 +159,24 @@ def test_structure_rules_behind_trailing_marks_and_emoji(spark):
     rows = found.collect()
     assert {r.text: r.got for r in rows} == {r.text: r.want for r in rows}
     assert {"ends_particle", "ends_continuative", "no_predicate", None} <= {r.got for r in rows}
+
+
+KINDS_OF_TEXT = ["東京へ行く。カナ・ｶﾅabＡ１2「」🧡 ", "です", "ます。ない", "んです", "い行きました", "", None, "𠮷野家で(笑)", "行\r\n\u2028く", "あ" * 30 + "い"]
+
+
+def test_tagged_tokens_are_those_of_the_rules(spark):
+    analyser, reference = ScriptRunAnalyser(), python_script_runs()
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(KINDS_OF_TEXT)], "i int, chunk string").coalesce(2)
+    for mode in "ABC":
+        want = {(i, p, *token) for i, t in enumerate(KINDS_OF_TEXT) if t for p, token in enumerate(reference(t, mode))}
+        found = explode_tokens(texts, analyser, mode).collect()
+        assert set(map(tuple, found)) == want and len(found) == len(want)
+    plan = explode_tokens(texts, analyser)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "translate" not in plan
+
+
+def test_tokens_are_counted_before_anything_is_sorted(spark, tmp_path):
+    spark.createDataFrame([(1, "The cat ran.", "en", "web", 12)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = QUERIES["token_tags"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in lowest and "surface" in lowest
