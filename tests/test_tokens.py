@@ -1,15 +1,19 @@
 from itertools import product
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks.inputs import python_script_runs
 from checks.queries import QUERIES
 from textmill.operators import lines, outliers, segment
 from textmill.operators.extract import extract_sentences, segment_documents
+from textmill.operators.freq import token_frequencies
 from textmill.operators.tokens import (
     PythonAnalyser,
     ScriptRunAnalyser,
     Tags,
+    _added,
+    _counts_of,
     explode_tokens,
     explode_units,
     rule_flags,
@@ -180,3 +184,26 @@ def test_tokens_are_counted_before_anything_is_sorted(spark, tmp_path):
     plan = QUERIES["token_tags"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
     assert "HashAggregate" in lowest and "surface" in lowest
+
+
+def test_units_counted_where_they_are_found_add_up_to_those_exploded(spark):
+    rows = [(["train", "validation", None][i % 3], t) for i, t in enumerate(KINDS_OF_TEXT * 4)]
+    texts, analyser = spark.createDataFrame(rows, "split string, clean string").repartition(3), ScriptRunAnalyser()
+    for by in (("split",), ()):
+        units = explode_units(texts.select(*by, "clean"), analyser)
+        want = units.groupBy(*by, "unit").agg(*(F.count_if(F.col("mode") == m).alias(f"cnt_{m.lower()}") for m in "ABC"))
+        found = analyser.counted_units(texts, by, "clean").groupBy(*by, "unit").agg(*(F.sum(f"cnt_{m}") for m in "abc"))
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_counting_holds_no_arrays_of_the_tokens_of_a_batch(spark):
+    texts = spark.createDataFrame([("犬が行く。",)], "text string")
+    plan = token_frequencies(texts, ScriptRunAnalyser(), by=(), text_col="text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_held_counts_are_added_up():
+    names = ["cnt_a", "cnt_b", "cnt_c"]
+    tables = _counts_of(pa.array(["東京 東京", "ab"]), ScriptRunAnalyser, "ABC", names)
+    added = {r["unit"]: (r["cnt_a"], r["cnt_b"], r["cnt_c"]) for r in _added([_added(tables, names), *tables], names).to_pylist()}
+    assert added == {"東": (4, 0, 0), "京": (4, 0, 0), " ": (2, 2, 2), "東京": (0, 4, 4), "ab": (2, 2, 2)}

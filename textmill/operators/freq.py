@@ -21,8 +21,12 @@ def token_frequencies(sentences: DataFrame, analyser, by=("split",), text_col: s
     Sentences that come with their ``tokens`` are not analysed again.
     """
     source = "tokens" if "tokens" in sentences.columns else text_col
-    units = explode_units(sentences.select(*by, source), analyser, text_col=text_col)
-    counts = [F.count_if(F.col("mode") == mode).alias(f"cnt_{mode.lower()}") for mode in MODES]
+    if source == text_col and hasattr(analyser, "counted_units"):
+        units = analyser.counted_units(sentences.select(*by, text_col), by, text_col)
+        counts = [F.sum(f"cnt_{mode.lower()}").alias(f"cnt_{mode.lower()}") for mode in MODES]
+    else:
+        units = explode_units(sentences.select(*by, source), analyser, text_col=text_col)
+        counts = [F.count_if(F.col("mode") == mode).alias(f"cnt_{mode.lower()}") for mode in MODES]
     counted = with_forms(units.groupBy(*by, "unit").agg(*counts), analyser)
     return counted.select(*by, "surface", "normalized", "cnt_a", "cnt_b", "cnt_c")
 
