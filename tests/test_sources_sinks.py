@@ -6,7 +6,9 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from textmill import storage
 from textmill.__main__ import document_sources, parse
+from textmill.operators import freq
 from textmill.sinks import tables
 from textmill.sources.documents import (
     TASKS_PER_CORE,
@@ -189,3 +191,41 @@ def test_only_the_first_lines_of_a_file_are_a_header(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     # A word in the first three places of a file can't be told from its header.
     assert sorted(r.surface for r in found) == ["#", "#", "#犬", "#犬", "a", "b", "c"] and bad == 0
+
+
+def shuffle_files(spark) -> int:
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return found.count("shuffle_")
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    table = storage.stage_table(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert table.count() == 7 and "zstd" in "".join(table.inputFiles())
+    assert shuffle_files(spark) <= before and spark.conf.get(storage._CLEANUP) == "false"
+
+
+def test_only_staged_tables_are_dropped(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    staged, own = storage.stage_table(spark.range(3), "mine"), spark.read.parquet(f"{tmp_path}/own")
+    before = storage.staged_names(spark)
+    storage.drop_table(own)
+    storage.drop_table(staged.filter("id > 0"))
+    assert storage.staged_names(spark) == before and own.count() == 3
+    storage.drop_table(staged)
+    assert len(before - storage.staged_names(spark)) == 1
+
+
+def test_ranked_types_keep_one_table(spark):
+    rows = [("train", f"w{i}", f"w{i}", i % 9, i % 7, i % 5) for i in range(50)]
+    counts = spark.createDataFrame(rows, "split string, surface string, normalized string, cnt_a long, cnt_b long, cnt_c long")
+    before = storage.staged_names(spark)
+    assert freq.top_types(counts).count() == 50 and freq.top_types(counts, 3).count() == 3
+    assert not [name for name in storage.staged_names(spark) - before if name.startswith("types")]
+
+
+def test_frequency_files_are_compressed(spark, tmp_path, frequencies):
+    tables.write_frequencies(frequencies, f"{tmp_path}/freq")
+    parts = [*pathlib.Path(f"{tmp_path}/freq").glob("split=*/part-*")]
+    lines = [line for p in parts for line in gzip.decompress(p.read_bytes()).decode().splitlines()]
+    assert len(lines) == 3 and all(p.name.endswith(".txt.gz") for p in parts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators.rank import at_least_n, global_rank
 from textmill.operators.tokens import MODES, explode_units, with_forms
-from textmill.storage import stage_table
+from textmill.storage import drop_table, stage_table
 
 
 def frequency_order():
@@ -38,9 +38,10 @@ def top_types(freq: DataFrame, n: int | None = None, by=("split",)) -> DataFrame
     histogram of mode-C counts says which types can be among them, and only these are sorted.
     """
     freq = stage_table(freq, "types")
-    if n is None:
-        return global_rank(freq, frequency_order(), by)
-    return global_rank(at_least_n(freq, "cnt_c", n, by), frequency_order(), by).filter(F.col("rank") <= n)
+    found = freq if n is None else at_least_n(freq, "cnt_c", n, by)
+    ranked = global_rank(found, frequency_order(), by)
+    drop_table(freq)  # ranks are read from their own table
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
 def collapse_surface(freq: DataFrame, by=("split",)) -> DataFrame:
