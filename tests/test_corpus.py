@@ -212,3 +212,14 @@ def test_a_build_finds_long_texts(spark, words, tmp_path, monkeypatch):
         rows = corpus.extracted.select("doc_id", "line_no", "sent_no", "raw", "clean", "status").collect()
         found.append((set(rows), len(rows), corpus.extracted.agg(F.sum("orig_chars")).first()[0]))
     assert found[0] == found[1] and len(calls) == 1 and calls[0] >= 10
+
+
+def test_a_build_stages_no_tokens_that_it_can_find_again(spark, docs, words):
+    before = staged_names(spark)
+    corpus = plans.build_sentences(docs, words, ANALYSER)
+    names = {name.rpartition("-")[0] for name in staged_names(spark) - before}
+    assert names == {"extracted", "sentences"}
+    flagged = flag_unknown_words(dedup.distinct_sentences(corpus.extracted), words, ANALYSER)
+    assert {(r.clean, r.oov) for r in corpus.flagged.collect()} == {(r.clean, r.oov) for r in flagged.collect()}
+    tokens = {r.clean for r in corpus.tokens.collect()}
+    assert tokens == {r.clean for r in corpus.sentences.collect()} and tokens
