@@ -2,14 +2,16 @@
 
 import json
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.inputs import python_script_runs
 from textmill.__main__ import main
 from textmill.operators import dedup, extract, stats
-from textmill.operators.extract import extract_sentences, rate_sentences
-from textmill.operators.tokens import ScriptRunAnalyser
+from textmill.operators.extract import extract_sentences, rate_sentences, segment_documents
+from textmill.operators.tokens import PythonAnalyser, ScriptRunAnalyser
 from textmill.operators.vocab import flag_unknown_words
 from textmill.plans import corpus as plans
 from textmill.plans.report import compare_files, compare_splits, render_report
@@ -223,3 +225,37 @@ def test_a_build_stages_no_tokens_that_it_can_find_again(spark, docs, words):
     assert {(r.clean, r.oov) for r in corpus.flagged.collect()} == {(r.clean, r.oov) for r in flagged.collect()}
     tokens = {r.clean for r in corpus.tokens.collect()}
     assert tokens == {r.clean for r in corpus.sentences.collect()} and tokens
+
+
+def test_segments_of_a_python_analyser_are_those_of_its_arrays(spark):
+    """By batches of flags and by column functions over token arrays; one text has no tokens, one fails, one loses characters."""
+    rng = random.Random(4)
+    parts = ["犬が", "行く", "。", "、", "「", "」", "🧡", "・", "走り", "[[", "略", " ", "が"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))).strip() or "犬" for _ in range(300)]
+    texts += ["無い。", "失 敗。", " ", "犬が行く。\n失敗。猫が走る。\n無"]
+    docs = spark.createDataFrame([("s", str(i), t) for i, t in enumerate(texts)], "source string, doc_id string, text string").coalesce(2)
+
+    def factory():
+        analyse = python_script_runs()
+
+        def unsteady(text, mode):
+            if "失" in text:
+                raise ValueError(text)
+            return [] if text.startswith("無") else list(analyse(text.replace("略", ""), mode))
+
+        return unsteady
+
+    analyser = columns = PythonAnalyser(factory)
+    by_arrays = type("ByArrays", (), {"max_line_bytes": None, "annotate": columns.annotate})()
+    found, want = (sorted(map(tuple, segment_documents(docs, a).collect()), key=str) for a in (analyser, by_arrays))
+    assert found == want and {"analyser_error", "no_content"} <= {row[6] for row in found}
+
+
+def test_a_build_keeps_tokens_only_of_sentences_that_pass(spark):
+    docs = spark.createDataFrame([("s", "1", "犬がいる。"), ("s", "2", "謎がいる。")], "source string, doc_id string, text string")
+    known = spark.createDataFrame([(w, i) for i, w in enumerate(("犬がいる", "。"))], "word string, rank long")
+    before = staged_names(spark)
+    corpus = plans.build_sentences(docs, known, PythonAnalyser(python_script_runs))
+    assert {r.clean: r.oov for r in corpus.flagged.collect()} == {"犬がいる。": False, "謎がいる。": True}
+    assert [[u.surface for u in m.units] for r in corpus.tokens.collect() for m in r.tokens] == [["犬", "がいる", "。"]] * 2 + [["犬がいる", "。"]]
+    assert {name.rpartition("-")[0] for name in staged_names(spark) - before} == {"extracted", "sentences"}
