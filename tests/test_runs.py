@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from textmill.functions import chars
 from textmill.operators import runs
 from textmill.operators.extract import extract_sentences
-from textmill.operators.tokens import Flag, ScriptRunAnalyser, _tables
+from textmill.operators.tokens import Flag, ScriptRunAnalyser, _tables, rule_flags
 
 TEXTS = ["行く。犬が", "", None, "「行く」猫", "カタ・カナ犬に[[行く", "ab１2。🧡", "。", "が" * 40]
 
@@ -76,3 +76,15 @@ def test_density_and_units_are_those_of_the_column_functions(spark):
     for got, want in pairs:
         assert [r.got for r in df.select(got.alias("got")).collect()] == [r.want for r in df.select(want.alias("want")).collect()]
     assert "regexp_extract_all" not in df.select(analyser.units(text, "A", flat=True))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_annotated_tokens_are_those_of_the_column_functions(spark):
+    texts = TEXTS + ["です。ます", "行 く\r\nab", "🧡た", "ダに、"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").coalesce(2)
+    analyser = ScriptRunAnalyser()
+    by_rules = F.transform(analyser.surfaces(F.col("text")), lambda s: analyser._classify(s, lambda x, t: F.lit(rule_flags(x, t))))
+    want = {r.i: (r.s, r.f) for r in df.select("i", analyser.surfaces(F.col("text")).alias("s"), by_rules.alias("f")).collect()}
+    found = analyser.annotate(df, "text")
+    assert {r.i: (r.surfaces, r.flags) for r in found.collect()} == want and want[2] == (None, None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp_extract_all" not in plan
